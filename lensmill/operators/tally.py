@@ -48,11 +48,12 @@ class Fact:
     once_per: str | None = None
 
 
-def tally(facts: Sequence[Fact], roster: DataFrame | None = None) -> DataFrame:
+def tally(facts: Sequence[Fact], roster: DataFrame | None = None, drop_zero: bool = False) -> DataFrame:
     """One row per key with every metric. A key no row matched counts 0; SUM over nulls stays null.
 
     With ``roster`` (the key columns only) exactly its keys are returned; otherwise the keys for which at
-    least one metric has a row.
+    least one metric has a row. ``drop_zero`` leaves out keys with no metric other than 0, where a null
+    metric counts as a value.
     """
     keys = list(facts[0].keys)
     plan = _assign_bits(facts)
@@ -75,14 +76,11 @@ def tally(facts: Sequence[Fact], roster: DataFrame | None = None) -> DataFrame:
                     rows = rows.withColumn(_less(m), _one(here & _has("_mask", plan.less_bit[m.name])))
                     measures.append(_less(m))
     rows = _fold(rows, keys, measures).filter(_has("_mask", wanted))
+    if drop_zero:
+        rows = rows.filter(F.array_contains(F.array(*(_is_nonzero(m, plan) for m in plan.metrics)), F.lit(True)))
     return rows.select(*keys, *(_finish(m, plan).alias(m.name) for m in plan.metrics))
 
 
-def any_nonzero(columns: Sequence[str]) -> Column:
-    """True where some metric is not 0; a null metric counts as a value."""
-    return reduce(lambda a, b: a | b, (F.coalesce(F.col(c), F.lit(1)) != 0 for c in columns))
-
-
 @dataclass
 class _Plan:
     metrics: list[Metric]
@@ -170,3 +168,17 @@ def _finish(m: Metric, plan: _Plan) -> Column:
     if m.less:
         value = F.coalesce(value, zero)
     return F.when(_has("_mask", plan.bit[m.name]), value).otherwise(zero)
+
+
+def _is_nonzero(m: Metric, plan: _Plan) -> Column:
+    """Whether the finished metric differs from 0, on the folded columns.
+
+    Deliberately shares no sub-expression with ``_finish``: a filter over the very expressions a
+    projection names makes Spark's constraint inference try every subset of them.
+    """
+    value, here = F.col(_sale(m)), _has("_mask", plan.bit[m.name])
+    if m.kind in ("count", "distinct", "once"):
+        if not m.less:
+            return F.coalesce(value != 0, F.lit(False))
+        return here & ~F.coalesce(value, F.lit(0)).eqNullSafe(F.coalesce(F.col(_less(m)), F.lit(0)))
+    return here & F.coalesce(value != 0, F.lit(not m.less))

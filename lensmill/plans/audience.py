@@ -40,9 +40,11 @@ def _visits(clinic: Clinic, day: date, condition: str = "true") -> DataFrame:
 VISIT = ["ID", "APPOINTMENT_TYPE", "STARTDATE", "BRANCH", "PID", "GENID"]
 
 
-def audience_feedback(clinic: Clinic, day: date, as_of: date) -> DataFrame:
-    """Completed appointments of the day whose patient has no paid invoice that day."""
-    paid = clinic.within("invoice", "SALE_DATE", DateRange(day, day)).filter("DESPENSE_TOTAL > 0")
+def audience_feedback(
+    clinic: Clinic, day: date, as_of: date, paid_within: DateRange | None = None
+) -> DataFrame:
+    """Completed appointments of the day whose patient has no paid invoice that day (or ``paid_within``)."""
+    paid = clinic.within("invoice", "SALE_DATE", paid_within or DateRange(day, day)).filter("DESPENSE_TOTAL > 0")
     people = _patients(clinic, as_of).drop("BRANCH_IDENTIFIER")
     seen = _visits(clinic, day, "APP_PROGRESS = 5").join(people, F.col("PATIENTID") == F.col("PID"))
     return not_in(seen, "PID", paid, "PATIENTID").select(

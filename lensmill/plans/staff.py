@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from lensmill.functions.windows import DateRange, Windows, window_for
-from lensmill.operators.tally import Fact, Metric, any_nonzero, tally
+from lensmill.operators.tally import Fact, Metric, tally
 from lensmill.plans.branch import roster
 from lensmill.plans.codes import (
     CONTACT_LENSES,
@@ -187,11 +187,11 @@ def dispenser_scorecard(
             _order_fact(clinic, window_for(windows, "spectacle_orders"), [*WARRANTY_CANCEL, *ORDER_STAGES]),
             _clock_fact(clinic, window_for(windows, "clockinout"), BRANCH_STAFF, [CLOCK]),
             _priced_fact(clinic, window_for(windows, "stock_arrival")),
-        ]
+        ],
+        drop_zero=True,
     )
     return (
-        scores.filter(any_nonzero(DISPENSER_COLUMNS))
-        .join(roster(branches), "branch", "left_semi")
+        scores.join(roster(branches), "branch", "left_semi")
         .join(active_dispensers(clinic, excluded), "staff", "left_semi")
         .select("branch", F.col("staff").alias("dispenser"), *DISPENSER_COLUMNS)
     )
