@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from lensmill.functions.windows import DateRange, look_ahead, previous_month, trailing_week
+from lensmill.sources.adapter import source
 
 ORDERS_AS_OF = date(1998, 11, 15)
 EVENTS_AS_OF = date(2024, 1, 8)
@@ -135,7 +136,7 @@ from (select *, 'prod' as env from {{customer}} union all select *, 'test' as en
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Runs one of the texts above over the source tables."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer") if f"{{{t}}}" in text}
+    tables = {t: source(spark, sf_dir, t) for t in ("orders", "customer") if f"{{{t}}}" in text}
     return spark.sql(text, **tables)
 
 

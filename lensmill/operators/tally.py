@@ -1,19 +1,19 @@
 """Many filtered counts, sums and distinct counts over several facts in one aggregation.
 
 Each fact row is projected to (key, entity, mask, measures): bit i of ``mask`` says whether the row
-matches predicate i. The facts are unioned, folded to one row per (key, entity) and then to one row per
-key. Masks are combined with ``bit_or``, so a distinct count is the number of entities with the bit set
+matches predicate i. Facts with an entity are unioned and folded to one row per (key, entity); those rows
+and the facts without one are then folded to one row per key. Masks are combined with ``bit_or``, so a distinct count is the number of entities with the bit set
 and needs no row expansion. Both folds combine on the map side, so neither a hot key nor a hot entity
 ends up in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -57,28 +57,20 @@ def tally(facts: Sequence[Fact], roster: DataFrame | None = None, drop_zero: boo
     """
     keys = list(facts[0].keys)
     plan = _assign_bits(facts)
-    parts = [_project(fact, plan) for fact in facts]
+    by_entity = [_project(fact, plan) for fact in facts if fact.entity]
+    parts = [_project(fact, plan) for fact in facts if not fact.entity]
     wanted = reduce(lambda a, b: a | b, (plan.bit[m.name] for m in plan.metrics))
     if roster is not None:
         wanted = plan.roster_bit
-        parts.append(roster.select(*keys, F.lit(wanted).cast("bigint").alias("_mask")))
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-    measures = [c for c in rows.columns if c.startswith("_v_")]
-    if any(f.entity for f in facts):
-        rows = _fold(rows, [*keys, "_entity"], measures)
-        for m in plan.metrics:
-            if m.kind == "distinct":
-                here = F.col("_entity").isNotNull()
-                rows = rows.withColumn(_sale(m), _one(here & _has("_mask", plan.bit[m.name])))
-                measures.append(_sale(m))
-                if m.less:
-                    rows = rows.withColumn(_less(m), _one(here & _has("_mask", plan.less_bit[m.name])))
-                    measures.append(_less(m))
-    rows = _fold(rows, keys, measures).filter(_has("_mask", wanted))
+        parts.append(roster.selectExpr(*keys, f"{wanted}L as _mask"))
+    if by_entity:
+        rows = _fold(_union(by_entity), [*keys, "_entity"])
+        flags = _flags([m for m in plan.metrics if m.kind == "distinct"], plan, "_entity")
+        parts.append(rows.selectExpr(*(c for c in rows.columns if c != "_entity"), *flags))
+    rows = _fold(_union(parts), keys).filter(_has(wanted))
     if drop_zero:
-        rows = rows.filter(F.array_contains(F.array(*(_is_nonzero(m, plan) for m in plan.metrics)), F.lit(True)))
-    return rows.select(*keys, *(_finish(m, plan).alias(m.name) for m in plan.metrics))
+        rows = rows.filter(f"array_contains(array({', '.join(_nonzero(m, plan) for m in plan.metrics)}), true)")
+    return rows.selectExpr(*keys, *(f"{_finish(m, plan)} as `{m.name}`" for m in plan.metrics))
 
 
 @dataclass
@@ -105,80 +97,71 @@ def _less(m: Metric) -> str:
     return f"_v_{m.name}__less"
 
 
-def _has(mask: str, bits: int) -> Column:
-    return F.col(mask).bitwiseAND(F.lit(bits).cast("bigint")) != 0
+def _has(bits: int) -> str:
+    return f"(_mask & {bits}L) <> 0"
 
 
-def _one(condition: Column) -> Column:
-    return F.when(condition, F.lit(1).cast("bigint"))
+def _flags(metrics: Sequence[Metric], plan: _Plan, column: str) -> list[str]:
+    """1 for each metric whose predicate some row of this entity or unit matched."""
+    bits = [(_sale(m), plan.bit[m.name]) for m in metrics]
+    bits += [(_less(m), plan.less_bit[m.name]) for m in metrics if m.less]
+    return [f"if({column} is not null and {_has(bit)}, 1L, null) as {name}" for name, bit in bits]
 
 
 def _project(fact: Fact, plan: _Plan) -> DataFrame:
     """Key, entity, mask and row-level measures of one fact; units are folded here already."""
-    mask = F.lit(0).cast("bigint")
-    for m in fact.metrics:
-        for predicate, bit in ((m.where, plan.bit[m.name]), (m.less, plan.less_bit.get(m.name))):
-            if predicate:
-                flag = F.when(F.expr(predicate), F.lit(bit).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-                mask = mask.bitwiseOR(flag)
-    columns = {name: F.expr(expression) for name, expression in fact.keys.items()}
+    tests = [(m.where, plan.bit[m.name]) for m in fact.metrics]
+    tests += [(m.less, plan.less_bit[m.name]) for m in fact.metrics if m.less]
+    columns = [f"{expression} as {name}" for name, expression in fact.keys.items()]
     if fact.entity:
-        columns["_entity"] = F.expr(fact.entity)
-    columns["_mask"] = mask
+        columns.append(f"{fact.entity} as _entity")
+    columns.append(" | ".join(f"if({test}, {bit}L, 0L)" for test, bit in tests) + " as _mask")
     for m in fact.metrics:
         if m.kind == "count":
-            columns[_sale(m)] = _one(F.expr(f"({m.where}) and ({m.of}) is not null"))
+            columns.append(f"if(({m.where}) and ({m.of}) is not null, 1L, null) as {_sale(m)}")
         elif m.kind in ("sum", "sum_once"):
-            value = F.when(F.expr(m.where), F.expr(m.of))
-            columns[_sale(m)] = value.when(F.expr(m.less), -F.expr(m.of)) if m.less else value
+            less = f" when {m.less} then -({m.of})" if m.less else ""
+            columns.append(f"case when {m.where} then {m.of}{less} end as {_sale(m)}")
     if not fact.once_per:
-        return fact.frame.select(*(c.alias(n) for n, c in columns.items()))
+        return fact.frame.selectExpr(*columns)
 
-    columns["_unit"] = F.expr(fact.once_per)
-    rows = fact.frame.select(*(c.alias(n) for n, c in columns.items()))
+    rows = fact.frame.selectExpr(*columns, f"{fact.once_per} as _unit")
     by = [*fact.keys, *(["_entity"] if fact.entity else []), "_unit"]
-    sums = [_sale(m) for m in fact.metrics if m.kind in ("count", "sum")]
-    firsts = [_sale(m) for m in fact.metrics if m.kind == "sum_once"]
-    rows = rows.groupBy(*by).agg(
-        F.bit_or("_mask").alias("_mask"),
-        *(F.sum(c).alias(c) for c in sums),
-        *(F.max(c).alias(c) for c in firsts),
-    )
-    here = F.col("_unit").isNotNull()
-    once = {}
-    for m in fact.metrics:
-        if m.kind == "once":
-            once[_sale(m)] = _one(here & _has("_mask", plan.bit[m.name]))
-            if m.less:
-                once[_less(m)] = _one(here & _has("_mask", plan.less_bit[m.name]))
-    return rows.withColumns(once).drop("_unit")
+    once = {_sale(m) for m in fact.metrics if m.kind == "sum_once"}
+    rows = _fold(rows, by, once)
+    flags = _flags([m for m in fact.metrics if m.kind == "once"], plan, "_unit")
+    return rows.selectExpr(*(c for c in rows.columns if c != "_unit"), *flags)
 
 
-def _fold(rows: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
-    return rows.groupBy(*by).agg(F.bit_or("_mask").alias("_mask"), *(F.sum(c).alias(c) for c in measures))
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _fold(rows: DataFrame, by: list[str], once: Collection[str] = ()) -> DataFrame:
+    """One row per key: masks combined, measures added up (those in ``once`` taken a single time)."""
+    measures = [c for c in rows.columns if c.startswith("_v_")]
+    adds = (F.expr(f"{'max' if c in once else 'sum'}({c}) as {c}") for c in measures)
+    return rows.groupBy(*by).agg(F.expr("bit_or(_mask) as _mask"), *adds)
 
 
-def _finish(m: Metric, plan: _Plan) -> Column:
-    value, zero = F.col(_sale(m)), F.lit(0)
+def _finish(m: Metric, plan: _Plan) -> str:
+    value, here = _sale(m), _has(plan.bit[m.name])
     if m.kind in ("count", "distinct", "once"):
         if not m.less:
-            return F.coalesce(value, zero).cast("bigint")
-        net = F.coalesce(value, zero) - F.coalesce(F.col(_less(m)), zero)
-        return F.when(_has("_mask", plan.bit[m.name]), net).otherwise(zero).cast("bigint")
-    if m.less:
-        value = F.coalesce(value, zero)
-    return F.when(_has("_mask", plan.bit[m.name]), value).otherwise(zero)
+            return f"coalesce({value}, 0L)"
+        return f"if({here}, coalesce({value}, 0L) - coalesce({_less(m)}, 0L), 0L)"
+    return f"if({here}, {f'coalesce({value}, 0)' if m.less else value}, 0)"
 
 
-def _is_nonzero(m: Metric, plan: _Plan) -> Column:
+def _nonzero(m: Metric, plan: _Plan) -> str:
     """Whether the finished metric differs from 0, on the folded columns.
 
     Deliberately shares no sub-expression with ``_finish``: a filter over the very expressions a
     projection names makes Spark's constraint inference try every subset of them.
     """
-    value, here = F.col(_sale(m)), _has("_mask", plan.bit[m.name])
+    value, here = _sale(m), _has(plan.bit[m.name])
     if m.kind in ("count", "distinct", "once"):
         if not m.less:
-            return F.coalesce(value != 0, F.lit(False))
-        return here & ~F.coalesce(value, F.lit(0)).eqNullSafe(F.coalesce(F.col(_less(m)), F.lit(0)))
-    return here & F.coalesce(value != 0, F.lit(not m.less))
+            return f"{value} > 0"
+        return f"{here} and nvl({value}, 0L) <> nvl({_less(m)}, 0L)"
+    return f"{here} and nvl({value} <> 0, {'false' if m.less else 'true'})"

@@ -6,10 +6,12 @@ Codes without meaning in the source (branch, staff, type) are derived by modulus
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lensmill.functions.windows import DateRange
-from lensmill.sources.catalog import Clinic, check_schema
+from lensmill.sources.catalog import Clinic
 
 INVOICE = [
     "o_orderkey as ID",
@@ -40,6 +42,15 @@ INVOICE_ITEMS = [
     " else 'P' || cast(l_partkey as string) end as ITEM_BARCODE",
 ]
 
+# The same item columns from an order already in invoice form and a part with its price converted.
+LINE_ITEM = [
+    "l_orderkey as INVOICEID",
+    "cast(case when TYPE = 6 then -l_quantity else l_quantity end as int) as QTY",
+    "cast(case when TYPE = 6 then -1 else 1 end * cast(l_quantity as decimal(8,0))"
+    " * cast(UNITPRICE as decimal(10,2)) * cast(l_discount as decimal(4,2)) as decimal(18,4)) as DISCOUNT_AMOUNT",
+    *INVOICE_ITEMS[-2:],
+]
+
 # name -> (columns, source); spectacle and lens orders together cover the whole orders table.
 VIEWS: dict[str, tuple[list[str], str]] = {
     "invoice": (INVOICE, "orders"),
@@ -181,42 +192,53 @@ OPTOMETRISTS = [
 ]
 
 
+# Source columns the views use; stating them saves reading file footers to plan a query.
+SOURCE_SCHEMAS: dict[str, str] = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
+def source(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
+
+
 class OrderTablesClinic(Clinic):
     """Builds sale lines with one join per source table instead of joining orders to itself."""
 
-    def __init__(self, tables: dict[str, DataFrame], orders: DataFrame, lineitem: DataFrame, part: DataFrame):
-        super().__init__(tables)
-        self._orders, self._lineitem, self._part = orders, lineitem, part
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__({name: partial(self._view, name) for name in [*VIEWS, "users"]})
+        self._source = partial(source, spark, root)
+
+    def _view(self, name: str) -> DataFrame:
+        if name == "users":
+            orders = self._source("orders")
+            return orders.selectExpr(*DISPENSERS).distinct().unionAll(orders.selectExpr(*OPTOMETRISTS).distinct())
+        columns, origin = VIEWS[name]
+        if name == "invoice_items":
+            sold = self._source("lineitem").join(self._source("orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+            return sold.join(self._source("part"), F.col("p_partkey") == F.col("l_partkey")).selectExpr(*columns)
+        base, _, condition = origin.partition(" where ")
+        return self._source(base).filter(condition or "true").selectExpr(*columns)
 
     def sale_lines(self, window: DateRange) -> DataFrame:
+        """Prices are converted once per order and part, before the joins repeat them per line."""
+        sold = self._source("orders").filter(window.covers("o_orderdate")).selectExpr(*INVOICE)
+        priced = self._source("part").selectExpr("p_partkey", "cast(p_retailprice as decimal(18,2)) as UNITPRICE")
         return (
-            self._orders.filter(window.covers("o_orderdate"))
-            .join(self._lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-            .join(self._part, F.col("p_partkey") == F.col("l_partkey"))
-            .selectExpr(*INVOICE, *INVOICE_ITEMS)
+            sold.join(self._source("lineitem"), F.col("ID") == F.col("l_orderkey"))
+            .join(priced, F.col("p_partkey") == F.col("l_partkey"))
+            .selectExpr(*sold.columns, "UNITPRICE", *LINE_ITEM)
         )
 
 
 def load(spark: SparkSession, root: str) -> Clinic:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}.parquet")
-
-    raw = {name: table(name) for name in ("orders", "lineitem", "part", "customer", "events")}
-    tables: dict[str, DataFrame] = {}
-    for name, (columns, source) in VIEWS.items():
-        if name == "invoice_items":
-            joined = raw["lineitem"].join(raw["orders"], F.col("o_orderkey") == F.col("l_orderkey"))
-            frame = joined.join(raw["part"], F.col("p_partkey") == F.col("l_partkey"))
-        else:
-            base, _, condition = source.partition(" where ")
-            frame = raw[base].filter(condition) if condition else raw[base]
-        tables[name] = frame.selectExpr(*columns)
-    tables["users"] = (
-        raw["orders"].selectExpr(*DISPENSERS).distinct().unionAll(raw["orders"].selectExpr(*OPTOMETRISTS).distinct())
-    )
-    for name, frame in tables.items():
-        check_schema(name, frame)
-    return OrderTablesClinic(tables, raw["orders"], raw["lineitem"], raw["part"])
+    return OrderTablesClinic(spark, root)
 
 
 def view_sql() -> dict[str, str]:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -49,16 +50,19 @@ FACT_DATES: dict[str, str] = {
 
 
 class Clinic:
-    """Named tables. Reports ask for ``within(table, column, window)`` and ``sale_lines(window)``."""
+    """Named tables. Reports ask for ``within(table, column, window)`` and ``sale_lines(window)``.
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    A table may be given as a function, which is called when a report first asks for it.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self._tables = dict(tables)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._tables[name]
-
-    def __contains__(self, name: str) -> bool:
-        return name in self._tables
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = check_schema(name, table())
+        return table
 
     def within(self, name: str, column: str, window: DateRange) -> DataFrame:
         """Rows whose date column lies in the window; also prunes month partitions where laid out."""
@@ -96,7 +100,7 @@ def check_schema(name: str, frame: DataFrame) -> DataFrame:
 
 def load_parquet(spark: SparkSession, root: str) -> Clinic:
     """One parquet directory per table under ``root``."""
-    return Clinic({name: check_schema(name, spark.read.parquet(f"{root}/{name}")) for name in SCHEMAS})
+    return Clinic({name: partial(spark.read.parquet, f"{root}/{name}") for name in SCHEMAS})
 
 
 def jdbc_options(url: str, table: str, key: str | None, low: int, high: int, parts: int) -> dict[str, str]:
@@ -124,12 +128,13 @@ def load_jdbc(
 
     ``key_ranges`` gives (min, max) of the ID column per large table; others are read in one query.
     """
-    tables = {}
-    for name, ddl in SCHEMAS.items():
+
+    def table(name: str) -> DataFrame:
         low, high = key_ranges.get(name, (0, 0))
         key = "ID" if name in key_ranges else None
         options = jdbc_options(url, f"{schema}.{name.upper()}", key, low, high, parts) | dict(properties or {})
         frame = spark.read.format("jdbc").options(**options).load()
-        wanted = StructType.fromDDL(ddl).fields
-        tables[name] = frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))
-    return Clinic(tables)
+        wanted = StructType.fromDDL(SCHEMAS[name]).fields
+        return frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))
+
+    return Clinic({name: partial(table, name) for name in SCHEMAS})
