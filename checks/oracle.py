@@ -448,7 +448,13 @@ from report_names n left join branches b on b.provider_code = regexp_extract(n.f
     return with_sources(body, "report_names branches")
 
 
-def benefit_summary(branch: str | None = None) -> str:
+def benefit_summary(branch: str | None = None, renumbered: bool = False) -> str:
+    """``renumbered``: lines count from 1 per file, as they do once written to files."""
+    source = "report_lines"
+    if renumbered:
+        source = (
+            "(select file, row_number() over (partition by file order by line_no) as line_no, line from report_lines)"
+        )
     claim = r"^(\d+)\s*(\w)\s*(\d+)\s+(\d+)\s(\w+)\s+([\w/]+)\s+(\d+)\s+(.*)$"
     heading, detail = r"^(\w+\s*\w*)\s:$", r"^\t{2}(\w+)\s:\s(.+)"
     fields = ["member_no", "suffix", "item_code", "policy", "h_policy", "date_service", "benefit_paid", "message"]
@@ -464,7 +470,7 @@ from (select *, {cut},
   case when entry = 'detail' then regexp_extract(line, '{detail}', 1) end as detail_key,
   case when entry = 'detail' then regexp_extract(line, '{detail}', 2) end as detail_value
  from (select *, case when regexp_matches(line, '{claim}') then 'claim' when regexp_matches(line, '{heading}') then 'heading'
-  when regexp_matches(line, '{detail}') then 'detail' end as entry from report_lines
+  when regexp_matches(line, '{detail}') then 'detail' end as entry from {source}
   where line_no > 1 and regexp_extract(file, '{_FILE}', 3) = 'SummaryReport')
  where entry is not null) t
 left join branches b on b.provider_code = regexp_extract(t.file, '{_FILE}', 2)
@@ -609,6 +615,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "benefit_summary": benefit_summary(),
         "benefit_summary_by_branch": benefit_summary("B2"),
+        "benefit_landing": benefit_summary(renumbered=True),
         "enquiry_records": enquiry_records(),
         **{f"enquiry_{kind}": enquiry(kind) for kind in _PLACES},
         "search_keys": search_keys(),

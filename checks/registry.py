@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -14,6 +15,7 @@ from lensmill.plans import audience, branch, capacity, claims, enquiry, maintena
 from lensmill.session import tune
 from lensmill.sources import adapter
 from lensmill.sources.catalog import Clinic
+from lensmill.sources.text import folder_name
 from lensmill.streaming.landing import benefit_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,18 +56,22 @@ def _suite_rows(reports: dict[str, DataFrame]) -> DataFrame:
 def _landing(x: Inputs) -> DataFrame:
     """Writes the derived report files to the shared folder, picks them up twice and returns the summary."""
     shared = x.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lensmill-")
-    run = x.spark.sql("select uuid()").first()[0]
-    root = f"{shared}/landing-{run}"
-    lines = x.derive(I.REPORT_LINES)
-    folders = lines.orderBy("file", "line_no").select(F.col("file").alias("name"), F.col("line").alias("value"))
-    folders.write.partitionBy("name").text(f"{root}/incoming")
-    # Spark names the files itself, so the report name is taken from the folder.
+    root = f"{shared}/landing-{uuid.uuid4().hex}"
+    # One part file per report: Spark names files itself, so the report's name is that of its folder.
+    lines = x.derive(I.REPORT_LINES).repartition("file").sortWithinPartitions("file", "line_no")
+    lines.selectExpr("file as report", "line as value").write.partitionBy("report").text(f"{root}/incoming")
     for _ in range(2):
         for query in benefit_landing(
-            x.spark, f"{root}/incoming/*", f"{root}/target", f"{root}/progress", x.branches, x.clinic["patient"]
+            x.spark,
+            f"{root}/incoming/*",
+            f"{root}/target",
+            f"{root}/progress",
+            x.branches,
+            x.clinic["patient"],
+            name=folder_name(),
         ):
             query.awaitTermination()
-    return x.spark.read.parquet(f"{root}/target/summary")
+    return x.spark.read.parquet(f"{root}/target/summary").drop("batch")
 
 
 ONE_DAY = date(1998, 10, 12)

@@ -7,16 +7,25 @@ not per line), and added to the position within the split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 RAW_COLUMNS = ("path", "file", "block", "line")
 
 
-def raw_lines(frame: DataFrame) -> DataFrame:
+def file_name() -> Column:
+    return F.col("_metadata.file_name")
+
+
+def folder_name() -> Column:
+    """The last folder of the path, the part after ``=`` if it has one: for files Spark has written."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/(?:[^/=]*=)?([^/=]+)/[^/]+$", 1)
+
+
+def raw_lines(frame: DataFrame, name: Column | None = None) -> DataFrame:
     """Lines of a text-file frame (batch or stream) with their file and the offset of their split."""
     return frame.select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file"),
+        (file_name() if name is None else name).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"),
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lensmill.plans.claims import benefit_files, benefit_summary
-from lensmill.sources.text import number_lines, raw_lines
+from lensmill.sources.text import file_name, number_lines, raw_lines
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -19,12 +19,13 @@ def benefit_landing(
     branches: DataFrame,
     patients: DataFrame,
     files_per_batch: int = 10_000,
+    name: Column | None = None,
 ) -> list[StreamingQuery]:
     """Reads the files under ``incoming`` not seen before and writes ``target/files`` and ``target/summary``.
 
     Two queries: one lists the files without opening them (so empty ones count too), one reads the
     lines. A batch is written to a directory of its own number, so a batch repeated after a failure
-    replaces its earlier output. They run until the present files are done; start them again for the
+    replaces its earlier output. ``name`` gives the report's name where it is not the file's own. They run until the present files are done; start them again for the
     next pick-up.
     """
 
@@ -39,12 +40,12 @@ def benefit_landing(
         return spark.readStream.format(source).option("maxFilesPerTrigger", files_per_batch)
 
     listed = arrivals("binaryFile").schema(FILE_SCHEMA).load(incoming)
-    names = listed.select(F.col("_metadata.file_name").alias("file"))
-    lines = raw_lines(arrivals("text").load(incoming))
+    names = listed.select((file_name() if name is None else name).alias("file"))
+    lines = raw_lines(arrivals("text").load(incoming), name)
     return [
         frame.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{checkpoint}/{name}")
+        .option("checkpointLocation", f"{checkpoint}/{part}")
         .trigger(availableNow=True)
         .start()
-        for name, frame, write in (("files", names, write_files), ("summary", lines, write_summary))
+        for part, frame, write in (("files", names, write_files), ("summary", lines, write_summary))
     ]
