@@ -28,6 +28,9 @@ SUMMARY_FIELDS = [
     "message",
 ]
 
+# More than the records of 56 characters that fit into a string of 2 GB.
+POSITIONS_PER_LINE = 1 << 26
+
 # Fixed-width fields of a claim record: name -> (1-based start, width).
 CLAIM_LAYOUT = {
     "member": (1, 8),
@@ -58,11 +61,13 @@ def claims_reordered(lines: DataFrame) -> DataFrame:
     batch or member of any size; first appearances are found by aggregation, not over a window.
     """
     records = claim_records(lines)
-    first = records.groupBy("file", "member").agg(F.min(F.struct("line_no", "pos")).alias("_first"))
+    # Line and position as one number, which unlike a struct can be aggregated in place.
+    place = F.col("line_no").cast("decimal(20,0)") * POSITIONS_PER_LINE + F.col("pos")
+    first = records.groupBy("file", "member").agg(F.min(place).alias("_first"))
     placed = records.join(first, ["file", "member"]).select(
         "file",
-        F.col("_first.line_no").alias("first_line"),
-        F.col("_first.pos").alias("first_pos"),
+        F.expr(f"_first div {POSITIONS_PER_LINE}").alias("first_line"),
+        F.expr(f"cast(_first % {POSITIONS_PER_LINE} as int)").alias("first_pos"),
         "member",
         "number_2",
         "line_no",

@@ -167,12 +167,12 @@ def response_diff(responses: DataFrame, left: str = "prod", right: str = "test")
 
     ``change`` is removed (only left), added (only right) or changed.
     """
-    both = responses.filter(F.col("env").isin(left, right))
-    lines = both.select("response_id", "env", F.posexplode(F.split("body", "\r?\n")).alias("line_no", "line"))
-    sides = lines.groupBy("response_id", "line_no").agg(
-        F.max(F.when(F.col("env") == left, F.col("line"))).alias("left_line"),
-        F.max(F.when(F.col("env") == right, F.col("line"))).alias("right_line"),
-    )
+
+    def lines(env: str, name: str) -> DataFrame:
+        one = responses.filter(F.col("env") == env)
+        return one.select("response_id", F.posexplode(F.split("body", "\r?\n")).alias("line_no", name))
+
+    sides = lines(left, "left_line").join(lines(right, "right_line"), ["response_id", "line_no"], "full_outer")
     change = (
         F.when(F.col("right_line").isNull(), "removed")
         .when(F.col("left_line").isNull(), "added")

@@ -23,8 +23,8 @@ def benefit_landing(
 ) -> list[StreamingQuery]:
     """Reads the files under ``incoming`` not seen before and writes ``target/files`` and ``target/summary``.
 
-    Two queries: one lists the files without opening them (so empty ones count too), one reads the
-    lines. A batch is written to a directory of its own number, so a batch repeated after a failure
+    Two queries: one lists the files without opening them, one reads the lines. (A Spark file source
+    passes over empty files, so those are in neither.) A batch is written to a directory of its own number, so a batch repeated after a failure
     replaces its earlier output. ``name`` gives the report's name where it is not the file's own. They run until the present files are done; start them again for the
     next pick-up.
     """
