@@ -49,14 +49,14 @@ def pad_right(column: Column, width: int, fill: str = "~") -> Column:
 
 
 def title_case(column: Column) -> Column:
-    """A capital after every non-letter: O'BRIEN-SMITH becomes O'Brien-Smith."""
-    low = F.lower(column)
-
-    def letter(c: Column, i: Column) -> Column:
-        starts = (i == 0) | ~F.substring(low, i, F.lit(1)).rlike(r"\p{L}")
-        return F.when(starts, F.upper(c)).otherwise(c)
-
-    return F.array_join(F.transform(F.split(low, ""), letter), "")
+    """A capital after every non-letter: o'brien-smith becomes O'Brien-Smith.
+
+    ``initcap`` only breaks words at blanks, so a marked blank is put after every run of non-letters
+    and taken out again.
+    """
+    mark = "\u0001 "
+    words = F.regexp_replace(F.lower(column), r"([^\p{L}]+)", f"$1{mark}")
+    return F.replace(F.initcap(words), F.lit(mark), F.lit(""))
 
 
 def person_key(identifier: Column) -> Column:

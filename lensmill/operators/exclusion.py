@@ -10,10 +10,11 @@ def not_in(frame: DataFrame, key: str, excluded: DataFrame, column: str) -> Data
 
     A null in the list empties the result, and a null key only passes an empty list. Spark plans a SQL
     NOT IN as a broadcast of the whole list; here the list stays distributed, reduced to one row per
-    value before it is shuffled, and its nulls are found by a separate one-row probe.
+    value before it is shuffled, and one aggregate tells whether it is empty or holds a null.
     """
     values = excluded.select(F.col(column).alias("_excluded"))
+    total, known = F.count("*"), F.count("_excluded")
+    state = values.agg(F.when(total == 0, "empty").when(known < total, "null").otherwise("plain")).scalar()
     listed = values.filter("_excluded is not null").distinct()
-    has_null = values.filter("_excluded is null").exists()
-    kept = frame.filter(~has_null & (F.col(key).isNotNull() | ~values.exists()))
-    return kept.join(listed, F.col(key) == F.col("_excluded"), "left_anti")
+    open_rows = frame.filter((state == "empty") | ((state == "plain") & F.col(key).isNotNull()))
+    return open_rows.join(listed, F.col(key) == F.col("_excluded"), "left_anti")

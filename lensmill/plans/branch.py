@@ -37,7 +37,8 @@ def trial_followup(clinic: Clinic, window: DateRange) -> DataFrame:
         trials.select("USER_ADDED", "PATIENTID", "BRANCH_IDENTIFIER")
         .join(known, F.col("PATIENTID") == F.col("ID"))
         .select("USER_ADDED", "ID", "BRANCH_IDENTIFIER")
-        .orderBy("BRANCH_IDENTIFIER")
+        # Further keys let the sort split a branch that holds most of the rows.
+        .orderBy("BRANCH_IDENTIFIER", "USER_ADDED", "ID")
     )
 
 

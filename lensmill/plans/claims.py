@@ -157,7 +157,9 @@ def benefit_summary(lines: DataFrame, branches: DataFrame, patients: DataFrame)
         F.when(F.col("entry") == "detail", F.regexp_extract("line", SUMMARY_DETAIL, 2)).alias("detail_value"),
     ).withColumns({name: F.get("_claim", F.lit(i)) for i, name in enumerate(SUMMARY_FIELDS)})
     codes = branches.select(F.col("code").alias("_branch"), F.col("provider_code").alias("_provider"))
-    named = rows.withColumn("_member", pad_left(F.col("member_no"), 8)).join(member_names(patients), "_member", "left")
+    # Lines without a member get keys of their own that match nothing, so they do not meet in one task.
+    key = F.coalesce(pad_left(F.col("member_no"), 8), F.concat(F.lit("line "), F.col("line_no")))
+    named = rows.withColumn("_member", key).join(member_names(patients), "_member", "left")
     return named.join(codes, "_provider", "left").select(
         "file",
         F.coalesce("_branch", F.lit("")).alias("branch"),
