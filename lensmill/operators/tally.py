@@ -140,7 +140,8 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 def _fold(rows: DataFrame, by: list[str], once: Collection[str] = ()) -> DataFrame:
     """One row per key: masks combined, measures added up (those in ``once`` taken a single time)."""
     measures = [c for c in rows.columns if c.startswith("_v_")]
-    adds = (F.expr(f"{'max' if c in once else 'sum'}({c}) as {c}") for c in measures)
+    # The filter lets a row skip the sums it has no value for, which most rows have for most sums.
+    adds = (F.expr(f"{'max' if c in once else 'sum'}({c}) filter (where {c} is not null) as {c}") for c in measures)
     return rows.groupBy(*by).agg(F.expr("bit_or(_mask) as _mask"), *adds)
 
 
