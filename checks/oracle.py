@@ -619,6 +619,11 @@ def oracle_sql() -> dict[str, str]:
         "enquiry_records": enquiry_records(),
         **{f"enquiry_{kind}": enquiry(kind) for kind in _PLACES},
         "search_keys": search_keys(),
+        "request_keys": with_sources(
+            "select MEMBER_NUMBER as number, r as request, r || '~~' || MEMBER_NUMBER as request_key"
+            " from patient, (values ('GAPS'), ('HISTP')) t(r)",
+            "patient",
+        ),
         "response_diff": response_diff(),
         "eligibility_cleared": _eligibility("*", _CLEAR),
         "eligibility_cleared_count": _eligibility("count(*) as cleared", _CLEAR),

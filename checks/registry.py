@@ -143,6 +143,7 @@ REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "enquiry_histc": lambda x: enquiry.records(x.derive(I.RESPONSES), "histc"),
     "enquiry_details": lambda x: enquiry.records(x.derive(I.RESPONSES), "details"),
     "search_keys": lambda x: enquiry.search_keys(x.clinic["patient"]),
+    "request_keys": lambda x: enquiry.request_keys(x.clinic["patient"], "MEMBER_NUMBER"),
     "response_diff": lambda x: enquiry.response_diff(x.derive(I.RESPONSES)),
     "benefit_landing": _landing,
     # maintenance and suites

@@ -24,7 +24,7 @@ class Metric:
     ``once`` = COUNT(DISTINCT unit), where the unit is the fact's ``once_per`` column,
     ``sum_once`` = SUM(of) with each unit taken once.
     With ``less`` the rows matching it are subtracted, but only for keys that have rows matching
-    ``where``: a key with returns and no sales stays empty.
+    ``where``: a key with returns and no sales stays empty. ``type`` is that of the finished column.
     """
 
     name: str
@@ -32,6 +32,7 @@ class Metric:
     where: str = "true"
     of: str | None = None
     less: str | None = None
+    type: str = "bigint"
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,7 @@ def tally(facts: Sequence[Fact], roster: DataFrame | None = None, drop_zero: boo
     rows = _fold(_union(parts), keys).filter(_has(wanted))
     if drop_zero:
         rows = rows.filter(f"array_contains(array({', '.join(_nonzero(m, plan) for m in plan.metrics)}), true)")
-    return rows.selectExpr(*keys, *(f"{_finish(m, plan)} as `{m.name}`" for m in plan.metrics))
+    return rows.selectExpr(*keys, *(f"cast({_finish(m, plan)} as {m.type}) as `{m.name}`" for m in plan.metrics))
 
 
 @dataclass

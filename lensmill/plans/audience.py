@@ -89,12 +89,10 @@ def _spoken(audience: DataFrame, name: str) -> Column:
     col = F.col(name)
     if name == "GENID":
         return F.coalesce(col, F.lit("None"))
+    text = col.cast("string")
     if isinstance(audience.schema[name].dataType, TimestampNTZType):
-        whole = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-        exact = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        text = F.when(exact.endswith(".000000"), whole).otherwise(exact)
-    else:
-        text = col.cast("string")
+        # A fraction of a second is written with six digits, a whole second without.
+        text = F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
     return title_case(F.coalesce(text, F.lit("None")))
 
 

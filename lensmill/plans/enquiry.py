@@ -183,6 +183,19 @@ def response_diff(responses: DataFrame, left: str = "prod", right: str = "test")
     )
 
 
+# Enquiries keyed by one number, and which number that is (fixed values).
+REQUEST_NUMBERS = {"DEP": "policy", "DETAILS": "policy", "HISTC": "policy", "HISTP": "member", "GAPS": "member"}
+
+
+def request_keys(numbers: DataFrame, column: str, number: str = "member") -> DataFrame:
+    """(number, request, request_key) for every row and enquiry that takes a ``member`` or ``policy`` number."""
+    requests = [request for request, takes in REQUEST_NUMBERS.items() if takes == number]
+    each = numbers.select(
+        F.col(column).alias("number"), F.explode(F.array(*(F.lit(r) for r in requests))).alias("request")
+    )
+    return each.select("number", "request", F.concat("request", F.lit("~~"), "number").alias("request_key"))
+
+
 def search_keys(patients: DataFrame, postcode: str = "~~~~") -> DataFrame:
     """The enquiry key of every patient: surname, initial and birth date (DDMMYYYY), padded with ``~``."""
 

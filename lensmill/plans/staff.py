@@ -22,6 +22,10 @@ from lensmill.plans.codes import (
 )
 from lensmill.sources.catalog import Clinic
 
+# Column types of summed money: line amounts carry four decimals, invoice balances two.
+AMOUNT = "decimal(38,4)"
+BALANCE = "decimal(38,2)"
+
 # ---- dispensers, per branch -------------------------------------------------------------------
 
 BRANCH_STAFF = {"branch": "BRANCH_IDENTIFIER", "staff": "USER_ADDED"}
@@ -30,17 +34,17 @@ SALES = [
     Metric(
         "fr_qty", "sum", f"STOCK_TYPE in (2, 3) and {SALE} and DESPENSE_TOTAL > 0 and ITEM_BARCODE <> '0001'", "QTY"
     ),
-    Metric("fr_amt", "sum", f"STOCK_TYPE = 2 and {EITHER}", NET_AMOUNT),
+    Metric("fr_amt", "sum", f"STOCK_TYPE = 2 and {EITHER}", NET_AMOUNT, type=AMOUNT),
     Metric("lens_qty", "sum", f"STOCK_TYPE = 4 and {EITHER} and left(ITEM_BARCODE, 3) <> 'GAP'", "QTY"),
-    Metric("lens_amt", "sum", f"STOCK_TYPE = 4 and {EITHER}", NET_AMOUNT),
+    Metric("lens_amt", "sum", f"STOCK_TYPE = 4 and {EITHER}", NET_AMOUNT, type=AMOUNT),
     Metric("suns_qty", "sum", f"STOCK_TYPE = 3 and {EITHER} and DISCOUNTID <> 106", "QTY"),
-    Metric("suns_amt", "sum", f"STOCK_TYPE = 3 and {EITHER}", NET_AMOUNT),
+    Metric("suns_amt", "sum", f"STOCK_TYPE = 3 and {EITHER}", NET_AMOUNT, type=AMOUNT),
     Metric("own_fr", "sum", f"ITEM_BARCODE = '0001' and {EITHER}", "QTY"),
     Metric("lens_ng", "sum", f"left(ITEM_BARCODE, 2) = 'NG' and {EITHER}", "QTY"),
-    Metric("unpaid", "sum", EITHER, "STOCK_CHARGED - STOCK_PAID"),
+    Metric("unpaid", "sum", EITHER, "STOCK_CHARGED - STOCK_PAID", type=BALANCE),
 ]
 # The report adds an invoice's open balance once per item; this counts it once.
-UNPAID_ONCE = Metric("unpaid_per_invoice", "sum_once", EITHER, "STOCK_CHARGED - STOCK_PAID")
+UNPAID_ONCE = Metric("unpaid_per_invoice", "sum_once", EITHER, "STOCK_CHARGED - STOCK_PAID", type=BALANCE)
 NET_COUNTS = [
     Metric("cust", "distinct", f"{SPECTACLES} and {SALE} and DESPENSE_TOTAL > 0"),
     Metric("sale", "once", f"{SALE} and {SPECTACLES}", less=f"{RETURN} and {SPECTACLES}"),
@@ -51,7 +55,8 @@ NET_COUNTS = [
 
 def _given(name: str, condition: str) -> Metric:
     """Discount on sales less discount on returns."""
-    return Metric(name, "sum", f"{condition} and {SALE}", "DISCOUNT_AMOUNT", less=f"{condition} and {RETURN}")
+    less = f"{condition} and {RETURN}"
+    return Metric(name, "sum", f"{condition} and {SALE}", "DISCOUNT_AMOUNT", less, AMOUNT)
 
 
 DISCOUNTS = [
@@ -203,10 +208,10 @@ BY_OPTOMETRIST = {"staff": "USER_IDENTIFIER"}
 
 REVENUE = [
     Metric("cl_cx", "distinct", f"{SALE} and {CONTACT_LENSES}", less=f"{RETURN} and {CONTACT_LENSES}"),
-    Metric("cl_amt", "sum", f"{CONTACT_LENSES} and {EITHER}", NET_AMOUNT),
+    Metric("cl_amt", "sum", f"{CONTACT_LENSES} and {EITHER}", NET_AMOUNT, type=AMOUNT),
     Metric("lens_qty", "sum", f"STOCK_TYPE = 4 and {EITHER} and left(ITEM_BARCODE, 3) <> 'GAP'", "QTY"),
-    Metric("lens_amt", "sum", f"STOCK_TYPE = 4 and {EITHER}", NET_AMOUNT),
-    Metric("cons_amt", "sum", "DESPENSE_TOTAL = 0 and ORDER_TYPE = 0", NET_AMOUNT),
+    Metric("lens_amt", "sum", f"STOCK_TYPE = 4 and {EITHER}", NET_AMOUNT, type=AMOUNT),
+    Metric("cons_amt", "sum", "DESPENSE_TOTAL = 0 and ORDER_TYPE = 0", NET_AMOUNT, type=AMOUNT),
 ]
 
 # Item codes billed per metric (fixed values).

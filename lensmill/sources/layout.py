@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lensmill.sources.catalog import FACT_DATES, SCHEMAS, Clinic, month_column
 
@@ -27,8 +27,9 @@ def write_monthly(clinic: Clinic, root: str, mode: str = "errorifexists") -> Non
         frame.hint("rebalance", part).write.mode(mode).partitionBy(part).parquet(f"{root}/{name}")
 
 
-def _month(column: str):
-    return F.date_format(column, "yyyy-MM")
+def _month(column: str) -> Column:
+    """Year and month as text, whatever the session's time zone."""
+    return F.col(column).cast("string").substr(1, 7)
 
 
 def _items_with_sale_month(clinic: Clinic) -> DataFrame:

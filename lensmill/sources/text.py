@@ -50,9 +50,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Enquiry responses saved one per file: (file, body)."""
+    """Enquiry responses saved as ``<env>_<kind>-<number>.txt``: (response_id, env, body).
+
+    The response id is ``<kind>-<number>``, so the environments' answers to one enquiry share it.
+    """
     whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
+    env, response_id = (F.regexp_extract(file_name(), r"^([^_]+)_(.*)\.txt$", i) for i in (1, 2))
+    return whole.select(response_id.alias("response_id"), env.alias("env"), F.col("value").alias("body"))
 
 
 def read_templates(spark: SparkSession, path: str) -> dict[str, str]:

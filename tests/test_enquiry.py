@@ -63,6 +63,13 @@ def test_search_keys(spark, make_clinic):
     ]
 
 
+def test_request_keys(spark):
+    numbers = spark.sql("select '00000042' as n")
+    assert rows(enquiry.request_keys(numbers, "n"), "request_key") == [("GAPS~~00000042",), ("HISTP~~00000042",)]
+    policy = rows(enquiry.request_keys(numbers, "n", "policy"), "request_key")
+    assert policy == [("DEP~~00000042",), ("DETAILS~~00000042",), ("HISTC~~00000042",)]
+
+
 def test_eligibility(make_clinic):
     links = [(1, "ME"), (1, "VIP"), (1, None), (2, "MNE"), (3, "ME"), (None, "ME"), (4, "MNE")]
     clinic = make_clinic(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lensmill.functions.windows import DateRange
 from lensmill.plans import claims
+from lensmill.plans.enquiry import response_diff
 from lensmill.sources import sinks
 from lensmill.sources.text import number_lines, raw_lines, read_lines, read_responses
 from lensmill.streaming.landing import benefit_landing
@@ -181,5 +182,8 @@ def test_report_sinks(spark, tmp_path):
 
 
 def test_responses_are_read_whole(spark, tmp_path):
-    (tmp_path / "a.txt").write_text("x\ny")
-    assert rows(read_responses(spark, str(tmp_path))) == [("a.txt", "x\ny")]
+    (tmp_path / "test_dep-12345678.txt").write_text("x\ny")
+    (tmp_path / "prod_dep-12345678.txt").write_text("x\nz")
+    responses = read_responses(spark, str(tmp_path))
+    assert rows(responses) == [("dep-12345678", "prod", "x\nz"), ("dep-12345678", "test", "x\ny")]
+    assert rows(response_diff(responses), "line_no", "change") == [(1, "changed")]
