@@ -4,6 +4,7 @@ import pytest
 
 from lensmill.functions.windows import DateRange
 from lensmill.plans import branch, staff, suite
+from lensmill.plans.labels import write_suite
 from lensmill.sources import adapter
 from lensmill.sources.catalog import SCHEMAS, check_schema, jdbc_options, load_parquet
 from lensmill.sources.layout import write_monthly
@@ -53,10 +54,18 @@ def test_monthly_layout_reads_only_the_months_asked_for(monthly):
     assert plan.count("PartitionFilters: [isnotnull(SALE_DATE_MONTH") == 2
 
 
-def test_suites(spark, branches):
+def test_suites(spark, branches, tmp_path):
     clinic = adapter.load(spark, SF)
     assert list(suite.monthly_suite(clinic, date(1998, 11, 15), branches)) == [
         "utilisation", "unique_customers_fy", "trial_followup", "branch_masterdata", "dispenser_scorecard", "optometrist_scorecard",
     ]
     weekly = suite.weekly_suite(clinic, date(1998, 11, 15), branches)
     assert list(weekly) == ["unique_customers_fy", "utilisation", "branch_masterdata"]
+    paths = write_suite(weekly, str(tmp_path), DateRange(date(1998, 11, 9), date(1998, 11, 15)))
+    assert paths["branch_masterdata"].endswith("report-masterdata-1998-11-09-to-1998-11-15.csv")
+    assert spark.read.csv(paths["unique_customers_fy"], header=True).columns == ["Branch", "Unique Yearly Cx FY98"]
+    written = spark.read.csv(paths["branch_masterdata"], header=True)
+    assert written.columns[:4] == ["branch", "appt_px_all", "Gls Appt No", "Cl Appt No"] and written.count() == 2
+    scores = {"dispenser_scorecard": staff.dispenser_scorecard(clinic, QUARTER, branches)}
+    path = write_suite(scores, str(tmp_path), QUARTER)["dispenser_scorecard"]
+    assert spark.read.csv(f"{path}/branch=B0", header=True).columns[:3] == ["Dispenser Code", "#cust", "#sale"]
