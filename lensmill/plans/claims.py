@@ -31,6 +31,9 @@ SUMMARY_FIELDS = [
 # More than the records of 56 characters that fit into a string of 2 GB.
 POSITIONS_PER_LINE = 1 << 26
 
+# Separates captured fields; the last field keeps any such character of its own.
+MARK = "\u0001"
+
 # Fixed-width fields of a claim record: name -> (1-based start, width).
 CLAIM_LAYOUT = {
     "member": (1, 8),
@@ -125,12 +128,6 @@ def member_names(patients: DataFrame) -> DataFrame:
     )
 
 
-def _groups(pattern: str, count: int) -> Column:
-    """All capture groups of an anchored whole-line pattern with one replacement pass."""
-    marks = "\u0001".join(f"${i}" for i in range(1, count + 1))
-    return F.split(F.regexp_replace("line", pattern, marks), "\u0001")
-
-
 def benefit_summary(lines: DataFrame, branches: DataFrame, patients: DataFrame) -> DataFrame:
     """Summary report files as rows: claims with the member's name, headings and details.
 
@@ -139,13 +136,16 @@ def benefit_summary(lines: DataFrame, branches: DataFrame, patients: DataFrame)
     # The catalogue needs only file names; deriving them per line avoids a second pass over the text.
     stated = lines.filter("line_no > 1").withColumn("_kind", F.regexp_extract("file", REPORT_FILE, 3))
     body = stated.filter("_kind = 'SummaryReport'").withColumn("_provider", F.regexp_extract("file", REPORT_FILE, 2))
+    # One pass both recognises a claim and separates its fields: the line changes only if it matches.
+    marks = MARK.join(f"${i}" for i in range(1, len(SUMMARY_FIELDS) + 1))
+    body = body.withColumn("_cut", F.regexp_replace("line", SUMMARY_CLAIM, marks))
     entry = (
-        F.when(F.col("line").rlike(SUMMARY_CLAIM), "claim")
+        F.when(F.col("_cut") != F.col("line"), "claim")
         .when(F.col("line").rlike(SUMMARY_HEADING), "heading")
         .when(F.col("line").rlike(SUMMARY_DETAIL), "detail")
     )
     typed = body.withColumn("entry", entry).filter("entry is not null")
-    claim = F.when(F.col("entry") == "claim", _groups(SUMMARY_CLAIM, len(SUMMARY_FIELDS)))
+    claim = F.when(F.col("entry") == "claim", F.split("_cut", MARK, len(SUMMARY_FIELDS)))
     rows = typed.select(
         "file",
         "_provider",
