@@ -54,9 +54,10 @@ def daily_cells(clinic: Clinic, as_of: date, branches: DataFrame, days: int = 21
         .join(roster(branches), "branch", "left_semi")
         .select("day", F.explode(F.array("branch", F.lit(TOTAL))).alias("branch"), *CELLS)
     )
+    # Every branch adds a zero to its own cell and to the total's, so all cells exist.
     empty_cells = (
         roster(branches)
-        .unionAll(roster(branches).select(F.lit(TOTAL)).limit(1))
+        .select(F.explode(F.array("branch", F.lit(TOTAL))).alias("branch"))
         .select(
             F.explode(F.array(*(F.lit(d) for d in open_days))).alias("day"),
             "branch",
