@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lensmill.llm import bpe, mixing, packing, token_counts
+from lensmill.llm import bpe, fingerprints, mixing, packing, pii, quality_rules, sharding, token_counts
 from lensmill.llm.common import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,22 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), **_bpe_50k(), end_id=2, capacity=1024)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), n_shards=8)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, so that every text counts; a standing job names a lasting folder."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"), **_bpe_50k())
@@ -32,6 +48,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
+    "op4_fingerprints": op4_fingerprints,
+    "op6_personal_data": op6_personal_data,
+    "op7_shards": op7_shards,
+    "op8_quality_rules": op8_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
 
