@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from lensmill.llm import bpe, fingerprints, mixing, packing, pii, quality_rules, sharding, token_counts
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lensmill.llm import (
+    bpe,
+    fingerprints,
+    html_text,
+    mixing,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    token_counts,
+)
 from lensmill.llm.common import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +35,21 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), **_bpe_50k(), end_id=2, capacity=1024)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(quality_classifier.fold(F.col("doc_id")) == 0, F.lit(False))
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_classifier.score(documents, labels, learn=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -48,7 +70,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_fingerprints": op4_fingerprints,
+    "op5_html_text": op5_html_text,
     "op6_personal_data": op6_personal_data,
     "op7_shards": op7_shards,
     "op8_quality_rules": op8_quality_rules,

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lensmill.llm import bpe
-from lensmill.llm.common import whole_text
+from lensmill.llm.common import stored, whole_text
 
 CACHE = "digest binary, n_tokens long, tokenizer string"
 
@@ -69,7 +69,8 @@ def token_counts(
 ) -> DataFrame:
     """Per document: doc_id, n_bytes, n_tokens, over_limit. ``cache``: a folder that all executors see."""
     version = fill_cache(documents, cache, path, ranks_path)
-    counts = cached_counts(documents.sparkSession, cache, version)
+    # Stored, so that both sides of the join are plain shuffles, of which Spark splits a hot digest.
+    counts = stored(cached_counts(documents.sparkSession, cache, version), "token-counts")
     rows = _digested(documents).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
     return rows.join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
