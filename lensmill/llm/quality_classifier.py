@@ -103,7 +103,7 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
 
 
 def fit(
-    documents: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = 2048, n_latent: int = 48
+    documents: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = 2048, n_latent: int = 24
 ) -> Space | None:
     """Fits on at most ``per_class`` labelled documents per class; ``learn``: condition on the labels' rows."""
     known = labels.where("quality in (0, 1) and doc_id is not null")
@@ -146,7 +146,7 @@ def score(
     learn: Column | None = None,
     threshold: float = 0.3,
     n_neighbours: int = 15,
-    sharpness: float = 4.0,
+    sharpness: float = 32.0,
     **fitting,
 ) -> DataFrame:
     """Per document: doc_id, score, predicted."""
@@ -168,7 +168,7 @@ def keep_good(
     learn: Column | None = None,
     threshold: float = 0.3,
     n_neighbours: int = 15,
-    sharpness: float = 4.0,
+    sharpness: float = 32.0,
     **fitting,
 ) -> DataFrame:
     """The documents, all columns as they are, that score at least the threshold."""
