@@ -11,6 +11,7 @@ from lensmill.llm import (
     fingerprints,
     html_text,
     mixing,
+    ngram_join,
     packing,
     pii,
     quality_classifier,
@@ -62,6 +63,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components_of(table(spark, sf_dir, "documents"), percent=80)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, so that every text counts; a standing job names a lasting folder."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"), **_bpe_50k())
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op6_personal_data": op6_personal_data,
     "op7_shards": op7_shards,
     "op8_quality_rules": op8_quality_rules,
+    "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -84,8 +90,14 @@ SQL: dict[str, str] = {
 }
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top; it imports this package
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
