@@ -15,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; beside the warehouse's tables where the session names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir, else the one set on the context, else in the
+    warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
+    own = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return folder or (own.get() if own.isDefined() else f"{spark.conf.get('spark.sql.warehouse.dir')}/shared")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
