@@ -58,6 +58,11 @@ _IN_WORDS = re.compile(
     rf"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9._%+-]+)(?P<at>\s+{_AT_WORD}\s+|@)(?P<host>[A-Za-z0-9-]+(?:(?:\s+{_DOT_WORD}\s+|\.)[A-Za-z0-9-]+)+)",
     re.IGNORECASE,
 )
+# Where even the sign is a word, the last name must be one of these; fixed values.
+_TOP_NAMES = frozenset(
+    "com org net edu gov mil int info biz io co app dev me tv uk de fr es it nl eu us ca au ch at be pl pt br mx ar cl in jp cn kr ru se no"
+    " dk fi ie cz gr example test".split()
+)
 _WORDED_DOT = re.compile(rf"\s+{_DOT_WORD}\s+", re.IGNORECASE)
 _HAS_DOT_WORD = re.compile(rf"\s{_DOT_WORD}\s", re.IGNORECASE)
 # Digits as words in English, German, French and Spanish; fixed values.
@@ -151,6 +156,12 @@ class Rewritten:
         return start, end
 
 
+def _address(m: re.Match) -> str | None:
+    host = _WORDED_DOT.sub(".", m["host"])
+    plain = m["at"] == "@" or host.rpartition(".")[2].lower() in _TOP_NAMES
+    return f"{m['name']}@{host}" if plain else None
+
+
 def _spoken(m: re.Match) -> str:
     digits = "".join(d if d.isdigit() else str(_SPELLED[d.lower()]) for d in _SPOKEN_PART.findall(m[0][len(m["plus"] or "") :]))
     return ("+" if m["plus"] else "") + digits
@@ -170,7 +181,7 @@ def rewrite(text: str) -> Rewritten | None:
     if strange or bracketed:
         out.apply(_BRACKETED, lambda m: "@" if m["at"] else ".")
     if strange or worded:
-        out.apply(_IN_WORDS, lambda m: f"{m['name']}@{_WORDED_DOT.sub('.', m['host'])}")
+        out.apply(_IN_WORDS, _address)
     if strange or spoken:
         out.apply(_SPOKEN, _spoken)
     return out if out.maps else None
