@@ -15,8 +15,6 @@ CLAIM_RECORD = r"\d{8}\d{8}\d{3}\s{2}\d{6}\d{6}\d{6}\sA\d{6}\s{7}"
 SUMMARY_CLAIM = r"^(\d+)\s*(\w)\s*(\d+)\s+(\d+)\s(\w+)\s+([\w/]+)\s+(\d+)\s+(.*)$"
 SUMMARY_HEADING = r"^(\w+\s*\w*)\s:$"
 SUMMARY_DETAIL = r"^\t{2}(\w+)\s:\s(.+)"
-PROVIDER_CODE = r"A\d{6}"
-
 SUMMARY_FIELDS = [
     "member_no",
     "suffix",
@@ -46,29 +44,42 @@ CLAIM_LAYOUT = {
 }
 
 
+def _found(lines: DataFrame) -> DataFrame:
+    found = F.regexp_extract_all(F.concat("line", F.lit("\n")), F.lit(CLAIM_RECORD), F.lit(0))
+    place = [c for c in ("path", "file", "line_no") if c in lines.columns]
+    return lines.select(*place, F.posexplode(found).alias("pos", "record"))
+
+
+def _fields(records: DataFrame) -> DataFrame:
+    fields = (F.substring("record", start, width).alias(name) for name, (start, width) in CLAIM_LAYOUT.items())
+    return records.select(*(c for c in records.columns if c != "record"), *fields, "record")
+
+
 def claim_records(lines: DataFrame) -> DataFrame:
     """Every claim record with its place (line_no, pos): several may share a line.
 
     A record ends in seven blanks of which the last may be the line break, so that is put back first.
     """
-    found = F.regexp_extract_all(F.concat("line", F.lit("\n")), F.lit(CLAIM_RECORD), F.lit(0))
-    records = lines.select("file", "line_no", F.posexplode(found).alias("pos", "record"))
-    fields = (F.substring("record", start, width).alias(name) for name, (start, width) in CLAIM_LAYOUT.items())
-    return records.select("file", "line_no", "pos", *fields, "record")
+    return _fields(_found(lines))
 
 
 def claims_reordered(lines: DataFrame) -> DataFrame:
     """Records of each batch grouped by member in order of first appearance, latest number_2 first.
 
+    A batch is a file; where lines carry their path, files of one name in two folders are two batches.
+
     The order is expressed as sort keys that end in the unique record position, so the sort can split a
     batch or member of any size; first appearances are found by aggregation, not over a window.
     """
-    records = claim_records(lines)
+    # Both uses below share one exchange, so the pattern runs once; it also splits a hot member. Fields are cut above it:
+    # then both uses need the same columns of it.
+    batch = [c for c in ("path", "file") if c in lines.columns]
+    records = _fields(_found(lines).hint("rebalance"))
     # Line and position as one number, which unlike a struct can be aggregated in place.
     place = F.col("line_no").cast("decimal(20,0)") * POSITIONS_PER_LINE + F.col("pos")
-    first = records.groupBy("file", "member").agg(F.min(place).alias("_first"))
-    placed = records.join(first, ["file", "member"]).select(
-        "file",
+    first = records.groupBy(*batch, "member").agg(F.min(place).alias("_first"))
+    placed = records.join(first, [*batch, "member"]).select(
+        *batch,
         F.expr(f"_first div {POSITIONS_PER_LINE}").alias("first_line"),
         F.expr(f"cast(_first % {POSITIONS_PER_LINE} as int)").alias("first_pos"),
         "member",
@@ -77,7 +88,7 @@ def claims_reordered(lines: DataFrame) -> DataFrame:
         "pos",
         "record",
     )
-    return placed.orderBy("file", "first_line", "first_pos", F.desc("number_2"), "line_no", "pos")
+    return placed.orderBy(*batch, "first_line", "first_pos", F.desc("number_2"), "line_no", "pos")
 
 
 def benefit_files(names: DataFrame, branches: DataFrame) -> DataFrame:
@@ -105,16 +116,22 @@ def benefit_files(names: DataFrame, branches: DataFrame) -> DataFrame:
 
 
 def files_for_branch(names: DataFrame, branches: DataFrame) -> DataFrame:
-    """(code, file) where the file name contains the branch's provider code anywhere.
+    """(code, file) where the file name contains the branch's provider code anywhere, whatever its shape.
 
-    The codes in a name are extracted and matched by equality, so no name is compared with every branch.
+    Every part of a name that is as long as some code is matched by equality, so no name is compared with every
+    branch. The lengths of the codes are read first; there are no more than a file name has characters.
     """
-    coded = names.select(
-        "file",
-        F.explode(F.array_distinct(F.regexp_extract_all("file", F.lit(PROVIDER_CODE), F.lit(0)))).alias(
-            "provider_code"
-        ),
-    )
+    length = F.length("provider_code").alias("n")
+    lengths = sorted(r.n for r in branches.select(length).where("n between 1 and 255").distinct().collect())
+    if not lengths:
+        return names.select(F.lit("").alias("code"), "file").limit(0)
+
+    def parts(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length("file") - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.substring("file", i, F.lit(n)))
+
+    every = F.array_distinct(F.concat(*map(parts, lengths)))
+    coded = names.select("file", F.explode(every).alias("provider_code"))
     return branches.select("code", "provider_code").join(coded, "provider_code").select("code", "file")
 
 
@@ -128,14 +145,23 @@ def member_names(patients: DataFrame) -> DataFrame:
     )
 
 
+def _provider() -> Column:
+    return F.regexp_extract("file", REPORT_FILE, 2)
+
+
+def is_summary(providers: list[str] | None = None) -> Column:
+    """Condition on ``file``: a summary report, of these providers if given. On a file scan it prunes the files read."""
+    summary = F.regexp_extract("file", REPORT_FILE, 3) == "SummaryReport"
+    return summary if providers is None else summary & _provider().isin(providers)
+
+
 def benefit_summary(lines: DataFrame, branches: DataFrame, patients: DataFrame) -> DataFrame:
     """Summary report files as rows: claims with the member's name, headings and details.
 
     Line 1 is a title. A line is a claim, else a heading, else a detail, else left out.
     """
     # The catalogue needs only file names; deriving them per line avoids a second pass over the text.
-    stated = lines.filter("line_no > 1").withColumn("_kind", F.regexp_extract("file", REPORT_FILE, 3))
-    body = stated.filter("_kind = 'SummaryReport'").withColumn("_provider", F.regexp_extract("file", REPORT_FILE, 2))
+    body = lines.filter(is_summary()).filter("line_no > 1").withColumn("_provider", _provider())
     # One pass both recognises a claim and separates its fields: the line changes only if it matches.
     marks = MARK.join(f"${i}" for i in range(1, len(SUMMARY_FIELDS) + 1))
     body = body.withColumn("_cut", F.regexp_replace("line", SUMMARY_CLAIM, marks))
@@ -176,8 +202,9 @@ def benefit_summary(lines: DataFrame, branches: DataFrame, patients: DataFrame)
 def benefit_summary_by_branch(
     lines: DataFrame, branches: DataFrame, patients: DataFrame, branch: str
 ) -> DataFrame:
-    """The summary of one branch; its provider code is matched first, so other files are not parsed."""
+    """The summary of one branch. Its provider code is looked up first and becomes a filter on file names, so the lines
+    of other files are not parsed. With lines from files, filter by ``is_summary`` before numbering them: then other
+    files are not even opened."""
     own = branches.filter(F.col("code") == branch)
-    provider = own.select(F.col("provider_code").alias("_own"))
-    mine = lines.withColumn("_own", F.regexp_extract("file", REPORT_FILE, 2)).join(provider, "_own", "left_semi")
-    return benefit_summary(mine.drop("_own"), own, patients)
+    providers = [r.provider_code for r in own.select("provider_code").distinct().collect()]
+    return benefit_summary(lines.filter(is_summary(providers)), own, patients)

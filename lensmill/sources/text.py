@@ -7,6 +7,8 @@ not per line), and added to the position within the split.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 RAW_COLUMNS = ("path", "file", "block", "line")
@@ -59,8 +61,8 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(response_id.alias("response_id"), env.alias("env"), F.col("value").alias("body"))
 
 
-def read_templates(spark: SparkSession, path: str) -> dict[str, str]:
-    """Message templates by type: one ``<type>.html`` each. A handful of small files, kept on the driver."""
-    whole = spark.read.text(f"{path}/*.html", wholetext=True)
+def read_templates(spark: SparkSession, path: str, types: Sequence[str]) -> dict[str, str]:
+    """The message templates of the types asked for, one ``<type>.html`` each. What else is in the folder is not read."""
+    whole = spark.read.text([f"{path}/{type}.html" for type in types], wholetext=True)
     rows = whole.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.html$", "").alias("type"), "value")
     return {row["type"]: row["value"] for row in rows.collect()}

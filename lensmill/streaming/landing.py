@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lensmill.plans.claims import benefit_files, benefit_summary
+from lensmill.plans.claims import benefit_files, benefit_summary, is_summary
 from lensmill.sources.text import file_name, number_lines, raw_lines
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -33,7 +33,8 @@ def benefit_landing(
         benefit_files(batch, branches).write.mode("overwrite").parquet(f"{target}/files/batch={number}")
 
     def write_summary(batch: DataFrame, number: int) -> None:
-        summary = benefit_summary(number_lines(batch), branches, patients)
+        # Other kinds of files are left out before their lines are numbered.
+        summary = benefit_summary(number_lines(batch.filter(is_summary())), branches, patients)
         summary.write.mode("overwrite").parquet(f"{target}/summary/batch={number}")
 
     def arrivals(source: str):

@@ -126,7 +126,7 @@ def test_messages_read_only_the_named_columns(pre_exam, branches):
 def test_templates_are_read_by_type(spark, tmp_path):
     (tmp_path / "recall.html").write_text("<p>{{D_TITLE}}\n</p>")
     (tmp_path / "script.html").write_text("x")
-    assert read_templates(spark, str(tmp_path)) == {"recall": "<p>{{D_TITLE}}\n</p>", "script": "x"}
+    assert read_templates(spark, str(tmp_path), ["recall", "script"]) == {"recall": "<p>{{D_TITLE}}\n</p>", "script": "x"}
 
 
 def test_placeholder_text_in_data_is_not_a_column(spark, branches, make_clinic):

@@ -187,3 +187,30 @@ def test_responses_are_read_whole(spark, tmp_path):
     responses = read_responses(spark, str(tmp_path))
     assert rows(responses) == [("dep-12345678", "prod", "x\nz"), ("dep-12345678", "test", "x\ny")]
     assert rows(response_diff(responses), "line_no", "change") == [(1, "changed")]
+
+
+def test_files_are_matched_by_codes_of_any_shape(spark):
+    names = spark.createDataFrame([("2-ZZ-77-x.txt",), ("19022020-A100000-H20017.txt",), ("zz.txt",), (None,)], "file string")
+    codes = spark.createDataFrame([("B0", "A100000"), ("B7", "ZZ-77"), ("B8", "Z-7"), ("B9", None), ("BX", "")], "code string, provider_code string")
+    want = [("B0", "19022020-A100000-H20017.txt"), ("B7", "2-ZZ-77-x.txt"), ("B8", "2-ZZ-77-x.txt")]
+    assert rows(claims.files_for_branch(names, codes)) == want
+    assert claims.files_for_branch(names, codes.limit(0)).count() == 0
+
+
+def test_batches_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
+    for folder, members in (("a", (1, 2)), ("b", (2, 1))):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.txt").write_text("".join(record(m, 200101) + "\n" for m in members))
+    got = claims.claims_reordered(read_lines(spark, f"{tmp_path}/*")).collect()
+    assert [(r.path[-7:], int(r.member)) for r in got] == [("a/x.txt", 1), ("a/x.txt", 2), ("b/x.txt", 2), ("b/x.txt", 1)]
+
+
+def test_summary_filter_prunes_files(spark, tmp_path):
+    (tmp_path / SUMMARY).write_text(SUMMARY_TEXT)
+    (tmp_path / SUMMARY.replace("A100000", "A100001")).write_text(SUMMARY_TEXT)
+    (tmp_path / "230620200944-A100000-H20017-Error.txt").write_text("late")
+    raw = raw_lines(spark.read.text(str(tmp_path)))
+    kept = raw.filter(claims.is_summary(["A100000"]))
+    assert number_lines(kept).select("file").distinct().collect()[0].file == SUMMARY
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(regexp_extract(_metadata.file_name" in plan or "_metadata" in plan
