@@ -16,6 +16,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 
+#: Bits of a mask; one test each for a metric, for what is taken off it, and for the roster.
+MAX_TESTS = 63
+
+
 @dataclass(frozen=True)
 class Metric:
     """One report column. ``where``, ``of`` and ``less`` are SQL expressions over the fact's columns.
@@ -84,7 +88,10 @@ class _Plan:
 
 def _assign_bits(facts: Sequence[Fact]) -> _Plan:
     metrics = [m for f in facts for m in f.metrics]
-    bits = iter(1 << i for i in range(63))
+    tests = len(metrics) + sum(bool(m.less) for m in metrics) + 1
+    if tests > MAX_TESTS:
+        raise ValueError(f"{tests} tests in one tally, of at most {MAX_TESTS}: split the metrics over two and join them")
+    bits = iter(1 << i for i in range(MAX_TESTS))
     bit = {m.name: next(bits) for m in metrics}
     less_bit = {m.name: next(bits) for m in metrics if m.less}
     return _Plan(metrics, bit, less_bit, next(bits))
@@ -113,6 +120,9 @@ def _project(fact: Fact, plan: _Plan) -> DataFrame:
     """Key, entity, mask and row-level measures of one fact; units are folded here already."""
     tests = [(m.where, plan.bit[m.name]) for m in fact.metrics]
     tests += [(m.less, plan.less_bit[m.name]) for m in fact.metrics if m.less]
+    # Rows that no test matches add nothing. Spark takes the parts of this filter that one table answers to its scan.
+    wanted = sorted({test for test, _ in tests})
+    frame = fact.frame if "true" in wanted else fact.frame.filter(" or ".join(f"({test})" for test in wanted))
     columns = [f"{expression} as {name}" for name, expression in fact.keys.items()]
     if fact.entity:
         columns.append(f"{fact.entity} as _entity")
@@ -124,9 +134,9 @@ def _project(fact: Fact, plan: _Plan) -> DataFrame:
             less = f" when {m.less} then -({m.of})" if m.less else ""
             columns.append(f"case when {m.where} then {m.of}{less} end as {_sale(m)}")
     if not fact.once_per:
-        return fact.frame.selectExpr(*columns)
+        return frame.selectExpr(*columns)
 
-    rows = fact.frame.selectExpr(*columns, f"{fact.once_per} as _unit")
+    rows = frame.selectExpr(*columns, f"{fact.once_per} as _unit")
     by = [*fact.keys, *(["_entity"] if fact.entity else []), "_unit"]
     once = {_sale(m) for m in fact.metrics if m.kind == "sum_once"}
     rows = _fold(rows, by, once)

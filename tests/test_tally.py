@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from lensmill.operators.tally import Fact, Metric, tally
 from tests.conftest import rows
 
@@ -105,3 +107,9 @@ def test_facts_are_combined_by_key(spark):
     first = Fact(frame(spark, [("a", 1, 1, "s", 2)]), KEYS, [Metric("people", "distinct")], "who")
     second = Fact(frame(spark, [("b", 9, 1, "s", 2)]), KEYS, [Metric("total", "sum", "true", "x")])
     assert rows(tally([first, second])) == [("a", 1, 0), ("b", 0, 2)]
+
+
+def test_too_many_tests_are_refused(spark):
+    metrics = [Metric(f"m{i}", "count", f"x = {i}", "x") for i in range(63)]
+    with pytest.raises(ValueError, match="64 tests in one tally"):
+        tally([Fact(spark.range(1).selectExpr("id as k", "id as x"), {"k": "k"}, metrics)])
