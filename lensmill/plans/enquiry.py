@@ -162,17 +162,30 @@ def enquiry_records(responses: DataFrame) -> DataFrame:
     return fields.select("response_id", "env", "kind", "rec_no", "field_no", "_f.field", "_f.value")
 
 
-def response_diff(responses: DataFrame, left: str = "prod", right: str = "test") -> DataFrame:
+def response_diff(
+    responses: DataFrame, left: str = "prod", right: str = "test", aligned: bool = False
+) -> DataFrame:
     """Lines that differ between two environments' responses, by line position.
 
-    ``change`` is removed (only left), added (only right) or changed.
+    ``change`` is removed (only left), added (only right) or changed. ``aligned`` pairs equal lines wherever they
+    stand, by line and how often it has occurred before, so a line put in at the top is one added line; line_no is
+    then the place on the line's own side, and nothing is "changed". Only unequal bodies are taken apart.
     """
 
-    def lines(env: str, name: str) -> DataFrame:
+    def side(env: str, name: str) -> DataFrame:
         one = responses.filter(F.col("env") == env)
-        return one.select("response_id", F.posexplode(F.split("body", "\r?\n")).alias("line_no", name))
-
-    sides = lines(left, "left_line").join(lines(right, "right_line"), ["response_id", "line_no"], "full_outer")
+        return one.select("response_id", F.col("body").alias(name))
+
+    pairs = side(left, "_left").join(side(right, "_right"), "response_id", "full_outer")
+    unequal = pairs.filter(~F.col("_left").eqNullSafe(F.col("_right")))
+    lines = unequal.select("response_id", *(F.split(c, "\r?\n").alias(c) for c in ("_left", "_right")))
+    if aligned:
+        found = F.concat(_unmatched("_left", "_right", "removed"), _unmatched("_right", "_left", "added"))
+        return lines.select("response_id", F.inline(found))
+    zipped = F.arrays_zip(*(F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("_left", "_right")))
+    sides = lines.select("response_id", F.posexplode(zipped).alias("line_no", "_of")).select(
+        "response_id", "line_no", F.col("_of")["_left"].alias("left_line"), F.col("_of")["_right"].alias("right_line")
+    )
     change = (
         F.when(F.col("right_line").isNull(), "removed")
         .when(F.col("left_line").isNull(), "added")
@@ -183,6 +196,25 @@ def response_diff(responses: DataFrame, left: str = "prod", right: str = "test")
     )
 
 
+def _unmatched(own: str, other: str, change: str) -> Column:
+    """The own lines whose n-th occurrence the other side lacks, as (line_no, change, left_line, right_line)."""
+    none = F.lit(None).cast("string")
+    times = lambda lines, line: F.size(F.filter(lines, lambda x: x == line))
+    there = F.coalesce(F.col(other), F.array().cast("array<string>"))
+    here = F.coalesce(F.col(own), F.array().cast("array<string>"))
+    places = F.transform(here, lambda line, i: F.struct(i.alias("line_no"), line.alias("line"), times(F.slice(here, 1, i + 1), line).alias("nth")))
+    only = F.filter(places, lambda x: x["nth"] > times(there, x["line"]))
+    sides = ("line", None) if own == "_left" else (None, "line")
+    return F.transform(
+        only,
+        lambda x: F.struct(
+            x["line_no"].alias("line_no"),
+            F.lit(change).alias("change"),
+            *((x["line"] if s else none).alias(n) for s, n in zip(sides, ("left_line", "right_line"), strict=True)),
+        ),
+    )
+
+
 # Enquiries keyed by one number, and which number that is (fixed values).
 REQUEST_NUMBERS = {"DEP": "policy", "DETAILS": "policy", "HISTC": "policy", "HISTP": "member", "GAPS": "member"}
 

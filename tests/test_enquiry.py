@@ -87,3 +87,20 @@ def test_eligibility(make_clinic):
     assert cleared == [(1, "ME"), (4, "MNE")]
     assert rows(maintenance.eligibility_cleared_count(clinic, today)) == [(2,)]
     assert rows(maintenance.eligibility_kept(clinic, today)) == sorted((x for x in links if x not in cleared), key=repr)
+
+
+def test_response_diff_aligned(spark):
+    frame = responses(
+        spark,
+        (1, "prod", "a\nb\nb\nc"),
+        (1, "test", "new\na\nb\nin between\nc"),
+        (2, "prod", "same"),
+        (2, "test", "same"),
+        (3, "prod", "gone"),
+    )
+    assert rows(enquiry.response_diff(frame, aligned=True)) == [
+        (1, 0, "added", None, "new"),
+        (1, 2, "removed", "b", None),
+        (1, 3, "added", None, "in between"),
+        (3, 0, "removed", "gone", None),
+    ]
