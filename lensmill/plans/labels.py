@@ -86,15 +86,16 @@ LABELS: dict[str, dict[str, str]] = {
 }
 
 
-def labelled(name: str, report: DataFrame, fiscal_year: int | None = None) -> DataFrame:
-    """The report with its printed column labels; first-time customers carry the fiscal year."""
+def labelled(name: str, report: DataFrame, fiscal_year: int | None = None, weekly: bool = False) -> DataFrame:
+    """The report with its printed column labels; first-time customers carry the fiscal year, and are yearly ones only
+    in the monthly report."""
     labels = LABELS.get(name, {})
     if name == "unique_customers_fy" and fiscal_year:
-        labels = {"branch": "Branch", "unique_cx": f"Unique Yearly Cx FY{fiscal_year % 100:02d}"}
+        labels = {"branch": "Branch", "unique_cx": f"Unique {'' if weekly else 'Yearly '}Cx FY{fiscal_year % 100:02d}"}
     return report.withColumnsRenamed(labels)
 
 
-def write_suite(reports: dict[str, DataFrame], root: str, window: DateRange) -> dict[str, str]:
+def write_suite(reports: dict[str, DataFrame], root: str, window: DateRange, weekly: bool = False) -> dict[str, str]:
     """Writes every report of a suite as CSV, by branch or staff code, and returns the paths.
 
     Dispensers go to one folder per branch. The fiscal year is named after the year it starts in.
@@ -108,5 +109,5 @@ def write_suite(reports: dict[str, DataFrame], root: str, window: DateRange) ->
             # Trials come sorted; the other reports start with their key.
             ordered = report if name == "trial_followup" else report.orderBy(report.columns[0])
             write = write_report
-        paths[name] = write(labelled(name, ordered, year), root, TITLES[name], window)
+        paths[name] = write(labelled(name, ordered, year, weekly), root, TITLES[name], window)
     return paths

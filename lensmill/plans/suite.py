@@ -7,11 +7,33 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from lensmill.functions.windows import Windows, previous_month, trailing_week, trial_window, window_for
+from lensmill.functions.windows import DateRange, Windows, previous_month, trailing_week, trial_window, window_for
 from lensmill.plans import branch, staff
 from lensmill.sources.catalog import Clinic
 
 
+class _StoredLines(Clinic):
+    """A clinic whose sale lines of one window are stored already."""
+
+    def __init__(self, clinic: Clinic, window: DateRange, lines: DataFrame):
+        super().__init__({})
+        self._clinic, self._window, self._lines = clinic, window, lines
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._clinic[name]
+
+    def sale_lines(self, window: DateRange) -> DataFrame:
+        return self._lines if window == self._window else self._clinic.sale_lines(window)
+
+
+def with_stored_lines(clinic: Clinic, window: DateRange, path: str) -> Clinic:
+    """The clinic with the window's invoices and items joined once and written under ``path``, for all reports of a
+    suite. The path must be one that all executors see; it stays there for the caller to remove."""
+    lines = clinic.sale_lines(window)
+    lines.write.parquet(path)
+    return _StoredLines(clinic, window, lines.sparkSession.read.schema(lines.schema).parquet(path))
+
+
 def monthly_suite(
     clinic: Clinic,
     as_of: date,

@@ -103,8 +103,18 @@ def load_parquet(spark: SparkSession, root: str) -> Clinic:
     return Clinic({name: partial(spark.read.parquet, f"{root}/{name}") for name in SCHEMAS})
 
 
-def jdbc_options(url: str, table: str, key: str | None, low: int, high: int, parts: int) -> dict[str, str]:
-    """Reader options that split one table scan into ``parts`` range queries on its numeric key."""
+# What a table's scan can be split by: a number or a date that spreads its rows.
+SPLIT_COLUMNS: dict[str, str] = {name: "ID" for name, ddl in SCHEMAS.items() if ddl.startswith("ID ")} | {
+    "invoice_items": "INVOICEID",
+    "clockinout": "TIMESTMP",
+    "patient_categories_link": "PATIENT_ID",
+}
+
+
+def jdbc_options(
+    url: str, table: str, key: str | None = None, low: object = 0, high: object = 0, parts: int = 64
+) -> dict[str, str]:
+    """Reader options that split one table scan into ``parts`` range queries on a number or date column."""
     options = {"url": url, "dbtable": table, "fetchsize": "10000", "preferTimestampNTZ": "true"}
     if key:
         options |= {
@@ -116,23 +126,35 @@ def jdbc_options(url: str, table: str, key: str | None, low: int, high: int, par
     return options
 
 
+def split_by(name: str, key_ranges: Mapping[str, tuple]) -> tuple[str | None, object, object]:
+    """(column, low, high) for one table; no column where it is read in one query."""
+    if name not in key_ranges:
+        return None, 0, 0
+    *column, low, high = key_ranges[name]
+    key = column[0] if column else SPLIT_COLUMNS.get(name)
+    known = [f.name for f in StructType.fromDDL(SCHEMAS[name]).fields]
+    if key not in known:
+        raise ValueError(f"table {name} can't be split by {key}: it has {', '.join(known)}")
+    return key, low, high
+
+
 def load_jdbc(
     spark: SparkSession,
     url: str,
-    key_ranges: Mapping[str, tuple[int, int]],
+    key_ranges: Mapping[str, tuple],
     parts: int = 64,
     schema: str = "dbo",
     properties: Mapping[str, str] | None = None,
 ) -> Clinic:
     """Tables of a live database. Filters and column lists are pushed into the generated SQL.
 
-    ``key_ranges`` gives (min, max) of the ID column per large table; others are read in one query.
+    ``key_ranges`` gives (min, max) of the split column per large table (see SPLIT_COLUMNS), or (column, min, max) to
+    split by another column; rows outside the bounds are read too. Other tables are read in one query.
     """
 
     def table(name: str) -> DataFrame:
-        low, high = key_ranges.get(name, (0, 0))
-        key = "ID" if name in key_ranges else None
-        options = jdbc_options(url, f"{schema}.{name.upper()}", key, low, high, parts) | dict(properties or {})
+        options = jdbc_options(url, f"{schema}.{name.upper()}", *split_by(name, key_ranges), parts)
+        options |= dict(properties or {})
         frame = spark.read.format("jdbc").options(**options).load()
         wanted = StructType.fromDDL(SCHEMAS[name]).fields
         return frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))

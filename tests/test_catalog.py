@@ -5,8 +5,8 @@ import pytest
 from lensmill.functions.windows import DateRange
 from lensmill.plans import branch, staff, suite
 from lensmill.plans.labels import write_suite
-from lensmill.sources import adapter
-from lensmill.sources.catalog import SCHEMAS, check_schema, jdbc_options, load_parquet
+from checks import adapter
+from lensmill.sources.catalog import SCHEMAS, SPLIT_COLUMNS, check_schema, jdbc_options, load_parquet, split_by
 from lensmill.sources.layout import write_monthly
 from tests.conftest import rows
 
@@ -27,6 +27,33 @@ def test_jdbc_scan_is_split_by_key():
     assert "partitionColumn" not in jdbc_options("jdbc:x", "dbo.USERS", None, 0, 0, 8)
 
 
+@pytest.mark.parametrize("name", SCHEMAS)
+def test_every_table_is_split_by_a_column_it_has(name):
+    columns = {part.split()[0]: part.split()[1] for part in SCHEMAS[name].replace(", ", ",").split(",") if " " in part}
+    if name in SPLIT_COLUMNS:
+        key, low, high = split_by(name, {name: (1, 900)})
+        assert columns[key] in ("bigint", "timestamp_ntz") and (low, high) == (1, 900)
+        assert jdbc_options("jdbc:x", name, key, low, high)["partitionColumn"] == key
+    else:
+        with pytest.raises(ValueError, match="can't be split"):
+            split_by(name, {name: (1, 900)})
+    assert split_by(name, {}) == (None, 0, 0)
+
+
+def test_split_column_can_be_chosen():
+    assert split_by("invoice", {"invoice": ("SALE_DATE", "2020-01-01", "2020-02-01")})[0] == "SALE_DATE"
+    with pytest.raises(ValueError, match="invoice_items can't be split by ID"):
+        split_by("invoice_items", {"invoice_items": ("ID", 1, 2)})
+
+
+def test_sale_lines_are_stored_once_per_suite(spark, branches, tmp_path):
+    clinic = adapter.load(spark, SF)
+    kept = suite.with_stored_lines(clinic, QUARTER, str(tmp_path / "lines"))
+    assert rows(branch.branch_masterdata(kept, QUARTER, branches)) == rows(branch.branch_masterdata(clinic, QUARTER, branches))
+    assert all("lines" in f for f in kept.sale_lines(QUARTER).inputFiles())
+    assert kept.sale_lines(DateRange(date(1998, 1, 1), date(1998, 1, 31))).count() > 0
+
+
 @pytest.fixture(scope="module")
 def monthly(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("monthly"))
@@ -61,9 +88,9 @@ def test_suites(spark, branches, tmp_path):
     ]
     weekly = suite.weekly_suite(clinic, date(1998, 11, 15), branches)
     assert list(weekly) == ["unique_customers_fy", "utilisation", "branch_masterdata"]
-    paths = write_suite(weekly, str(tmp_path), DateRange(date(1998, 11, 9), date(1998, 11, 15)))
+    paths = write_suite(weekly, str(tmp_path), DateRange(date(1998, 11, 9), date(1998, 11, 15)), weekly=True)
     assert paths["branch_masterdata"].endswith("report-masterdata-1998-11-09-to-1998-11-15.csv")
-    assert spark.read.csv(paths["unique_customers_fy"], header=True).columns == ["Branch", "Unique Yearly Cx FY98"]
+    assert spark.read.csv(paths["unique_customers_fy"], header=True).columns == ["Branch", "Unique Cx FY98"]
     written = spark.read.csv(paths["branch_masterdata"], header=True)
     assert written.columns[:4] == ["branch", "appt_px_all", "Gls Appt No", "Cl Appt No"] and written.count() == 2
     scores = {"dispenser_scorecard": staff.dispenser_scorecard(clinic, QUARTER, branches)}
