@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from lensmill.functions.windows import DateRange, look_ahead, previous_month, trailing_week
-from lensmill.sources.adapter import source
+from checks.adapter import source
 
 ORDERS_AS_OF = date(1998, 11, 15)
 EVENTS_AS_OF = date(2024, 1, 8)
@@ -21,6 +21,15 @@ EVENT_WEEK = trailing_week(EVENTS_AS_OF)
 AHEAD = look_ahead(EVENTS_AS_OF)
 ALL_ORDER_DATES = DateRange(date(1995, 1, 1), date(2001, 12, 31))
 ALL_EVENT_DATES = DateRange(date(2024, 1, 1), date(2024, 1, 31))
+# What names a row of a suite's report.
+SUITE_KEYS = {
+    "utilisation": ["branch"],
+    "unique_customers_fy": ["branch"],
+    "trial_followup": ["BRANCH_IDENTIFIER", "USER_ADDED", "ID"],
+    "branch_masterdata": ["branch"],
+    "dispenser_scorecard": ["branch", "dispenser"],
+    "optometrist_scorecard": ["optometrist"],
+}
 EVENT_FACTS = ("appointment", "examination", "clockinout", "patient_letters")
 
 
@@ -38,6 +47,10 @@ BRANCHES = "select * from (values " + ", ".join(
     for i in range(7)
 ) + ") as t(code, provider_code, fte_100, fte_85, name, address, phone, manager_name, manager_email)"
 
+# One more branch whose provider code has another shape, and files that name it.
+OTHER_CODE = "ZZ-77"
+CODED_BRANCHES = f"{BRANCHES} union all select 'B7', '{OTHER_CODE}', 1.00, 1.00, 'Branch 7', '', '', '', ''"
+
 APPT_BUDGET = "select * from (values " + ", ".join(
     f"('B{i}', {month}, {20 + 2 * i + month})" for i in range(7) for month in range(12)
 ) + ") as t(branch, fiscal_month, per_day)"
@@ -80,14 +93,14 @@ select '3006' || cast(year(o_orderdate) as string) || '-A10000' || cast(o_orderk
 from {{orders}}
 """
 
-# Report files per branch, year and kind; each starts with a title line.
+# Report files per branch, year, kind and million orders, so files multiply with the data; each starts with a title line.
 _REPORT = """
 select o_orderkey as k, o_custkey as c, o_orderdate as d, o_totalprice as p, o_orderstatus as s,
- '3006' || cast(year(o_orderdate) as string) || '0944-A10000' || cast(case when o_orderkey % 97 = 0 then 9 else o_orderkey % 7 end as string)
+ '3006' || cast(year(o_orderdate) as string) || {hours} || '44-A10000' || cast(case when o_orderkey % 97 = 0 then 9 else o_orderkey % 7 end as string)
  || '-H20017-' || case when o_orderpriority = '1-URGENT' then 'ExceptionReport' when o_orderpriority = '2-HIGH' then 'Error' else 'SummaryReport' end
  || '.txt' as file
 from {orders}
-"""
+""".replace("{hours}", _pad("cast(floor(o_orderkey / 1000000) as int) % 24", 2))
 REPORT_LINES = f"""
 with r as ({_REPORT})
 select distinct file, cast(1 as bigint) as line_no, '12 A 34 56 X 78 90 title line' as line from r
@@ -99,6 +112,9 @@ union all select file, k * 4 + 4, chr(9) || chr(9) || 'Paid : ' || cast(k % 1000
 union all select file, k * 4 + 5, '--- end of claim ' || cast(k as string) from r
 """
 REPORT_NAMES = f"select distinct file from ({_REPORT}) as r"
+CODED_NAMES = (
+    f"{REPORT_NAMES} union all select distinct '2-{OTHER_CODE}-' || cast(year(o_orderdate) as string) || '.txt' as file from {{orders}}"
+)
 
 _D8 = _pad("c_custkey", 8)
 _TEXT24, _TEXT20 = "rpad(c_mktsegment, 24, ' ')", "rpad(reverse(c_mktsegment), 20, ' ')"
@@ -123,10 +139,12 @@ _DETAILS = (
 # Two environments per customer with none, one or two records of a kind; the copies differ in places.
 RESPONSES = f"""
 select c_custkey as response_id, env,
- 'Return     : ' || cast(c_custkey as string) || chr(10)
+ case when env = 'test' and c_custkey % 9 = 0 then 'put in first' || chr(10) else '' end
+ || 'Return     : ' || cast(c_custkey as string) || chr(10)
  || case when c_custkey % 3 > 0 then {_DEP} else 'no dependants' end || case when c_custkey % 3 = 2 then {_DEP} else '' end || chr(10)
  || {_GAPS} || chr(10)
  || case when c_custkey % 2 = 0 then {_HISTC} || case when env = 'test' and c_custkey % 4 = 0 then '  $11.00' else '  $10.00' end else 'HISTC~~none' end || chr(10)
+ || case when env = 'test' and c_custkey % 8 = 0 then 'put in between' || chr(10) || {_GAPS} || chr(10) else '' end
  || {_DETAILS}
  || case when env = 'test' and c_custkey % 5 = 0 then chr(10) || 'extra' else '' end
  || case when env = 'prod' and c_custkey % 7 = 0 then chr(10) || 'only here' else '' end as body

@@ -5,7 +5,7 @@ from __future__ import annotations
 from checks import inputs as I
 from lensmill.functions.windows import DateRange
 from lensmill.plans.codes import GLASSES_TYPES, LENS_TEACH_TYPES, LENS_TYPES
-from lensmill.sources.adapter import view_sql
+from checks.adapter import view_sql
 
 VIEWS = view_sql()
 DIMENSIONS = {
@@ -15,6 +15,8 @@ DIMENSIONS = {
     "claim_lines": I.derived_sql(I.CLAIM_LINES),
     "report_lines": I.derived_sql(I.REPORT_LINES),
     "report_names": I.derived_sql(I.REPORT_NAMES),
+    "coded_names": I.derived_sql(I.CODED_NAMES),
+    "coded_branches": I.CODED_BRANCHES,
     "responses": I.derived_sql(I.RESPONSES),
 }
 SOURCES = VIEWS | DIMENSIONS
@@ -537,6 +539,21 @@ from ({side('prod')}) l full join ({side('test')}) r using (response_id, line_no
     return with_sources(body, "responses")
 
 
+def response_diff_aligned() -> str:
+    def side(env: str) -> str:
+        return (
+            "select *, row_number() over (partition by response_id, line order by line_no) as nth from"
+            " (select response_id, cast(generate_subscripts(x, 1) - 1 as int) as line_no, unnest(x) as line from"
+            f" (select response_id, string_split(body, chr(10)) as x from responses where env = '{env}'))"
+        )
+
+    body = f"""
+select response_id, coalesce(l.line_no, r.line_no) as line_no, case when r.nth is null then 'removed' else 'added' end as change,
+ case when r.nth is null then line end as left_line, case when l.nth is null then line end as right_line
+from ({side('prod')}) l full join ({side('test')}) r using (response_id, line, nth) where l.nth is null or r.nth is null"""
+    return with_sources(body, "responses")
+
+
 def search_keys() -> str:
     def padded(x: str, n: int) -> str:
         return f"case when length({x}) < {n} then rpad({x}, {n}, '~') else {x} end"
@@ -558,7 +575,24 @@ def _eligibility(select: str, where: str) -> str:
 
 
 def _suite(reports: dict[str, str]) -> str:
-    return " union all ".join(f"select '{n}' as report, count(*) as n_rows from ({q}) q" for n, q in reports.items())
+    def values(name: str, query: str) -> str:
+        keys = I.SUITE_KEYS[name]
+        row = f"concat_ws('|', {', '.join(keys)})"
+        if name == "trial_followup":  # keys alone
+            return f"select '{name}' as report, {row} as row, 'rows' as metric, cast(1 as decimal(38,4)) as value from ({query}) q"
+        wide = f"select {row} as row, cast(columns(* exclude ({', '.join(keys)})) as decimal(38,4)) from ({query}) q"
+        long = f"({wide}) as w unpivot include nulls (value for metric in (columns(* exclude (row))))"
+        return f"select '{name}' as report, row, metric, value from {long}"
+
+    return " union all ".join(f"({values(n, q)})" for n, q in reports.items())
+
+
+def claim_batches_written() -> str:
+    order = "first_line, first_pos, number_2 desc, line_no, pos"
+    return (
+        f"select file, row_number() over (partition by file order by {order}) as place, rtrim(record, chr(10)) as record"
+        f" from ({claims_reordered()})"
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -610,8 +644,8 @@ def oracle_sql() -> dict[str, str]:
         "claims_reordered": claims_reordered(),
         "benefit_files": benefit_files(),
         "files_for_branch": with_sources(
-            "select b.code, n.file from report_names n join branches b on contains(n.file, b.provider_code)",
-            "report_names branches",
+            "select b.code, n.file from coded_names n join coded_branches b on contains(n.file, b.provider_code)",
+            "coded_names coded_branches",
         ),
         "benefit_summary": benefit_summary(),
         "benefit_summary_by_branch": benefit_summary("B2"),
@@ -625,10 +659,14 @@ def oracle_sql() -> dict[str, str]:
             "patient",
         ),
         "response_diff": response_diff(),
+        "response_diff_aligned": response_diff_aligned(),
         "eligibility_cleared": _eligibility("*", _CLEAR),
         "eligibility_cleared_count": _eligibility("count(*) as cleared", _CLEAR),
         "eligibility_kept": _eligibility("*", f"({_CLEAR}) is not true"),
     }
+    sql["report_csv"] = sql["branch_masterdata_monthly_layout"] = sql["branch_masterdata"]
+    sql["dispenser_csv_by_branch"] = sql["dispenser_scorecard_monthly_layout"] = sql["dispenser_scorecard"]
+    sql["claim_batches_written"] = claim_batches_written()
     sql["report_suite_monthly"] = _suite(
         {
             "utilisation": sql["utilisation"],

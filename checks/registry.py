@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from checks import inputs as I
+from checks import adapter, inputs as I
 from lensmill.plans import audience, branch, capacity, claims, enquiry, maintenance, staff, suite
 from lensmill.session import tune
-from lensmill.sources import adapter
-from lensmill.sources.catalog import Clinic
-from lensmill.sources.text import folder_name
+from lensmill.sources import sinks
+from lensmill.sources.catalog import Clinic, load_parquet
+from lensmill.sources.layout import write_monthly
+from lensmill.sources.text import folder_name, raw_lines
 from lensmill.streaming.landing import benefit_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,19 +44,61 @@ class Inputs:
         return self.derive(I.APPOINTMENT_INFO)
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that driver and executors share. It is left to the owner of that folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
 def _suite_rows(reports: dict[str, DataFrame]) -> DataFrame:
-    """Row count per report of a suite."""
-    counts = (
-        frame.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows")
-        for name, frame in reports.items()
-    )
-    return reduce(DataFrame.unionAll, counts)
+    """Every value of a suite as (report, row, metric, value); a report without measures has one row per key."""
+
+    def values(name: str, frame: DataFrame) -> DataFrame:
+        keys = I.SUITE_KEYS[name]
+        key = F.concat_ws("|", *keys).alias("row")
+        measures = [c for c in frame.columns if c not in keys]
+        of = [(c, F.col(c)) for c in measures] or [("rows", F.lit(1))]
+        long = F.array(*(F.struct(F.lit(c).alias("metric"), v.cast("decimal(38,4)").alias("value")) for c, v in of))
+        return frame.select(F.lit(name).alias("report"), key, F.inline(long))
+
+    return reduce(DataFrame.unionAll, (values(name, frame) for name, frame in reports.items()))
+
+
+def _with_stored_lines(x: Inputs, windows: dict) -> Clinic:
+    return suite.with_stored_lines(x.clinic, windows["default"], shared_path(x.spark, "sale-lines"))
+
+
+def _monthly(x: Inputs) -> Clinic:
+    """The library's own layout and joins, over a copy of the test tables."""
+    root = shared_path(x.spark, "monthly")
+    write_monthly(x.clinic, root)
+    return load_parquet(x.spark, root)
+
+
+def _report_csv(x: Inputs) -> DataFrame:
+    report = branch.branch_masterdata(x.clinic, I.MONTH_WINDOWS, x.branches)
+    path = sinks.write_report(report, shared_path(x.spark, "csv"), "masterdata", I.MONTH)
+    return x.spark.read.schema(report.schema).csv(path, header=True)
+
+
+def _dispenser_csv_by_branch(x: Inputs) -> DataFrame:
+    report = staff.dispenser_scorecard(x.clinic, I.MONTH_WINDOWS, x.branches)
+    path = sinks.write_report_by_branch(report, shared_path(x.spark, "csv"), "dispensers", I.MONTH)
+    return x.spark.read.schema(report.schema).csv(path, header=True).select(report.columns)
+
+
+def _claim_batches_written(x: Inputs) -> DataFrame:
+    """Batches written and read again: (file, place, record), the place counted over the files of a batch."""
+    path = shared_path(x.spark, "batches")
+    sinks.write_claim_batches(claims.claims_reordered(x.derive(I.CLAIM_LINES)), path)
+    lines = raw_lines(x.spark.read.text(f"{path}/*"), folder_name()).withColumn("_id", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("file").orderBy("path", "_id"))
+    return lines.select("file", place.cast("bigint").alias("place"), F.col("line").alias("record"))
 
 
 def _landing(x: Inputs) -> DataFrame:
     """Writes the derived report files to the shared folder, picks them up twice and returns the summary."""
-    shared = x.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lensmill-")
-    root = f"{shared}/landing-{uuid.uuid4().hex}"
+    root = shared_path(x.spark, "landing")
     # One part file per report: Spark names files itself, so the report's name is that of its folder.
     lines = x.derive(I.REPORT_LINES).repartition("file").sortWithinPartitions("file", "line_no")
     lines.selectExpr("file as report", "line as value").write.partitionBy("report").text(f"{root}/incoming")
@@ -132,7 +174,7 @@ REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # files
     "claims_reordered": lambda x: claims.claims_reordered(x.derive(I.CLAIM_LINES)),
     "benefit_files": lambda x: claims.benefit_files(x.derive(I.REPORT_NAMES), x.branches),
-    "files_for_branch": lambda x: claims.files_for_branch(x.derive(I.REPORT_NAMES), x.branches),
+    "files_for_branch": lambda x: claims.files_for_branch(x.derive(I.CODED_NAMES), x.derive(I.CODED_BRANCHES)),
     "benefit_summary": lambda x: claims.benefit_summary(x.derive(I.REPORT_LINES), x.branches, x.clinic["patient"]),
     "benefit_summary_by_branch": lambda x: claims.benefit_summary_by_branch(
         x.derive(I.REPORT_LINES), x.branches, x.clinic["patient"], "B2"
@@ -145,16 +187,23 @@ REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "search_keys": lambda x: enquiry.search_keys(x.clinic["patient"]),
     "request_keys": lambda x: enquiry.request_keys(x.clinic["patient"], "MEMBER_NUMBER"),
     "response_diff": lambda x: enquiry.response_diff(x.derive(I.RESPONSES)),
+    "response_diff_aligned": lambda x: enquiry.response_diff(x.derive(I.RESPONSES), aligned=True),
     "benefit_landing": _landing,
+    # sinks, and the library's own layout
+    "report_csv": _report_csv,
+    "dispenser_csv_by_branch": _dispenser_csv_by_branch,
+    "claim_batches_written": _claim_batches_written,
+    "branch_masterdata_monthly_layout": lambda x: branch.branch_masterdata(_monthly(x), I.MONTH_WINDOWS, x.branches),
+    "dispenser_scorecard_monthly_layout": lambda x: staff.dispenser_scorecard(_monthly(x), I.MONTH_WINDOWS, x.branches),
     # maintenance and suites
     "eligibility_cleared": lambda x: maintenance.eligibility_cleared(x.clinic, I.EVENTS_AS_OF),
     "eligibility_cleared_count": lambda x: maintenance.eligibility_cleared_count(x.clinic, I.EVENTS_AS_OF),
     "eligibility_kept": lambda x: maintenance.eligibility_kept(x.clinic, I.EVENTS_AS_OF),
     "report_suite_monthly": lambda x: _suite_rows(
-        suite.monthly_suite(x.clinic, I.ORDERS_AS_OF, x.branches, I.MONTH_WINDOWS)
+        suite.monthly_suite(_with_stored_lines(x, I.MONTH_WINDOWS), I.ORDERS_AS_OF, x.branches, I.MONTH_WINDOWS)
     ),
     "report_suite_weekly": lambda x: _suite_rows(
-        suite.weekly_suite(x.clinic, I.ORDERS_AS_OF, x.branches, I.WEEK_WINDOWS)
+        suite.weekly_suite(_with_stored_lines(x, I.WEEK_WINDOWS), I.ORDERS_AS_OF, x.branches, I.WEEK_WINDOWS)
     ),
 }
 
