@@ -9,8 +9,9 @@ looked for:
 2. *Blocks.* A link at Jaccard t needs a common shingle among the first n - ceil(t n) + 1 of each set in any global
    order. Frequent shingles are put last in that order, so passages that many documents share seldom count. A
    shingle is a block if nodes of different components have it there; blocks with the same members are folded.
-3. *Trees.* Each block is joined by dual traversal of signature trees, and what the bounds leave is tested exactly.
-   A block beyond ``block_items`` nodes is divided, and every pair of its parts is a task of its own.
+3. *Trees.* Each block is joined by dual traversal of signature trees over bitmaps of a few bits per shingle. The
+   few nodes that have a possible partner are joined again with their sets, where pairs are tested exactly. A block
+   beyond ``block_items`` nodes is divided, and every pair of its parts is a task of its own.
 
 Texts are read again where sets are needed, filtered by a bitmap of fixed size before they are parsed; what passes the
 bitmap by chance is removed by the join that follows. Sets travel as digests, for candidates alone.
@@ -22,10 +23,9 @@ gives an empty result; extra columns are ignored by ``components_of`` and kept b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -84,7 +84,7 @@ def _frequent(texts: DataFrame) -> np.ndarray:
 
 
 def _sets(documents: DataFrame, percent: int) -> DataFrame:
-    """Per row: doc_id, text_key, node, size, prefix and minima. Without shingles the node is null."""
+    """Per row: doc_id, text_key, digest, size, prefix, minima and bitmap. Without shingles the digest is null."""
     texts = documents.select(F.col("doc_id").cast("long"), whole_text(F.col("text")).alias("text"))
     often = documents.sparkSession.sparkContext.broadcast(_frequent(texts))
     multipliers = mix(np.arange(1, N_MINIMA + 1).astype(_U)) | _U(1)
@@ -96,7 +96,7 @@ def _sets(documents: DataFrame, percent: int) -> DataFrame:
                 sets = shingle_sets(texts)
                 at = np.searchsorted(last, sets.values) if len(last) else None
                 frequent = last[np.minimum(at, len(last) - 1)] == sets.values if len(last) else np.zeros(len(sets.values), bool)
-                digests, prefixes, minima = [], [], []
+                digests, prefixes, minima, maps = [], [], [], []
                 for i in range(len(texts)):
                     own = sets.of(i)
                     n = len(own)
@@ -105,6 +105,7 @@ def _sets(documents: DataFrame, percent: int) -> DataFrame:
                     ordered = np.concatenate((own[~later][:length], own[later])) if later.any() else own
                     prefixes.append(ordered[:length].view(np.int64))
                     digests.append(set_digest(own) if n else None)
+                    maps.append(signature_tree.bitmap(own) if n else None)
                     minima.append([int(v) for v in (own[:, None] * multipliers).min(0).view(np.int64)] if n else [])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -114,12 +115,13 @@ def _sets(documents: DataFrame, percent: int) -> DataFrame:
                         pa.array(np.diff(sets.offsets), pa.int64()),
                         pa.array(prefixes, pa.list_(pa.int64())),
                         pa.array(minima, pa.list_(pa.int64())),
+                        pa.array(maps, pa.binary()),
                     ],
-                    names=["doc_id", "text_key", "digest", "size", "prefix", "minima"],
+                    names=["doc_id", "text_key", "digest", "size", "prefix", "minima", "bitmap"],
                 )
 
     found = texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, text_key long, digest binary, size long, prefix array<long>, minima array<long>"
+        run, "doc_id long, text_key long, digest binary, size long, prefix array<long>, minima array<long>, bitmap binary"
     )
     return stored(found, "join-sets")
 
@@ -208,13 +210,10 @@ def _stars(documents: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int
 
 
 def _blocks(sets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(block, node, cluster, size, members): nodes of different clusters that share a shingle of their prefixes."""
-    known = sets.where("size > 0").join(clusters.withColumnRenamed("component", "cluster"), "node", "left")
-    clustered = stored(
-        known.select("node", F.coalesce("cluster", "node").alias("cluster"), "size", "prefix"), "join-clustered"
-    )
-    spread = clustered.select(F.explode("prefix").alias("block"), "cluster").groupBy("block").agg(
-        F.min("cluster").alias("low"), F.max("cluster").alias("high")
+    """(block, node, cluster, members): nodes of different clusters that share a shingle of their prefixes."""
+    known = sets.where("size > 0")
+    spread = known.select(F.explode("prefix").alias("block"), "node").groupBy("block").agg(
+        F.min("node").alias("low"), F.max("node").alias("high")
     )
     shared = stored(spread.where("low != high").select("block"), "join-shared")
     bitmap = sets.sparkSession.sparkContext.broadcast(_bitmap(shared))
@@ -225,56 +224,90 @@ def _blocks(sets: DataFrame, clusters: DataFrame) -> DataFrame:
             keys = prefix.flatten().to_numpy()
             row = np.repeat(np.arange(len(batch)), prefix.value_lengths().to_numpy())
             kept = _has(bitmap.value, keys)
-            rows = batch.select(["node", "cluster", "size"]).take(pa.array(row[kept]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[kept]), *rows.columns], names=["block", "node", "cluster", "size"])
+            nodes = batch.column("node").take(pa.array(row[kept]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[kept], pa.int64()), nodes], names=["block", "node"])
+
+    found = known.select("prefix", "node").mapInArrow(run, "block long, node long").join(shared, "block", "left_semi").distinct()
+    clustered = found.join(clusters.withColumnRenamed("component", "cluster"), "node", "left")
+    members = stored(clustered.select("block", "node", F.coalesce("cluster", "node").alias("cluster")), "join-members")
+    folded = members.groupBy("block").agg(
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("node")).alias("digest"),
+        F.min("cluster").alias("low"),
+        F.max("cluster").alias("high"),
+    )
+    # Within one cluster there is nothing to find; of blocks with the same members one is enough.
+    chosen = folded.where("low != high").groupBy("members", "digest").agg(F.min("block").alias("block"))
+    return stored(members.join(stored(chosen.drop("digest"), "join-chosen"), "block"), "join-blocks")
+
+
+def _per_task(rows: DataFrame, columns: list[str], schema: str, join: Callable[[pa.Table], list[tuple]]) -> DataFrame:
+    """Applies ``join`` to the rows of every (block, i, j); it returns rows of ``schema``, whose columns are all long."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def out(found: list[tuple]) -> pa.RecordBatch:
+        by_column = list(zip(*found, strict=True)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in by_column], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if waiting is None else pa.concat_tables([waiting, table]).combine_chunks()
+            ids = [table.column(c).to_numpy() for c in ("block", "i", "j")]
+            new = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([x[1:] != x[:-1] for x in ids])))).tolist()
+            yield out([r for a, b in zip(new[:-1], new[1:], strict=True) for r in join(table.slice(a, b - a))])
+            waiting = table.slice(new[-1])
+        yield out(join(waiting) if waiting is not None else [])
 
-    members = clustered.mapInArrow(run, "block long, node long, cluster long, size long").join(shared, "block", "left_semi")
-    members = stored(members.distinct(), "join-members")
-    same = ["members", "digest"]
-    folded = members.groupBy("block").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("digest"))
-    chosen = stored(folded.groupBy(*same).agg(F.min("block").alias("block")).drop("digest"), "join-blocks")
-    return members.join(chosen, "block")
+    by = ["block", "i", "j"]
+    return rows.select(*by, *columns).repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
-def _tree_links(documents: DataFrame, blocks: DataFrame, nodes: DataFrame, percent: int, seed: int, block_items: int) -> DataFrame:
+def _tree_links(
+    documents: DataFrame, sets: DataFrame, blocks: DataFrame, nodes: DataFrame, percent: int, seed: int, block_items: int
+) -> DataFrame:
     """Verified links (a, b) between clusters."""
-    blocks = stored(blocks, "join-blocks")
-    values = _shingles(documents, nodes, blocks.select("node").distinct(), seed)
     parts = F.ceil(F.col("members") / block_items)
-    part = F.pmod(F.xxhash64("node"), parts)
-    dealt = blocks.withColumn("parts", parts).withColumn("part", part)
+    dealt = blocks.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), parts))
     beside = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
     tasks = dealt.select("block", "node", "cluster", "part", beside).select(
         "block", "node", "cluster", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part"
     )
-    rows = tasks.join(values, "node")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def join(group: pd.DataFrame) -> list[tuple[int, int]]:
-            sets = [np.frombuffer(v, _U) for v in group["shingles"]]
-            return signature_tree.links(sets, group["cluster"].tolist(), group["part"].tolist(), percent)
+    wanted = blocks.select("node").distinct()
+    maps = sets.select("node", "size", "bitmap").join(wanted, "node", "left_semi").groupBy("node").agg(
+        F.min("size").alias("size"), F.min("bitmap").alias("bitmap")
+    )
+    kept = ["block", "i", "j", "node", "cluster", "part"]
 
-        waiting: pd.DataFrame | None = None
-        for batch in batches:
-            frame = batch.to_pandas()
-            frame = frame if waiting is None else pd.concat([waiting, frame])
-            ids = [frame[c].to_numpy() for c in ("block", "i", "j")]
-            new = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([x[1:] != x[:-1] for x in ids]))))
-            found = []
-            for a, b in zip(new[:-1], new[1:], strict=True):
-                found += join(frame.iloc[a:b])
-            waiting = frame.iloc[new[-1] :]
-            yield _edges(found)
-        yield _edges(join(waiting) if waiting is not None else [])
+    def possible(group: pa.Table) -> list[tuple]:
+        found = signature_tree.partners(*(group.column(c).to_pylist() for c in ("bitmap", "size", "cluster", "part")), percent)
+        return list(zip(*(group.column(c).take(found).to_pylist() for c in kept), strict=True)) if found else []
 
-    by = ["block", "i", "j"]
-    ordered = rows.select(*by, "cluster", "part", "shingles").repartition(*by).sortWithinPartitions(*by)
-    return stored(ordered.mapInArrow(run, "a long, b long"), "join-links")
+    asked = _per_task(
+        tasks.join(maps, "node"),
+        ["node", "cluster", "part", "size", "bitmap"],
+        ", ".join(f"{c} long" for c in kept),
+        possible,
+    )
+    few = stored(asked, "join-partners")
+    # What is left of many blocks is alike: one of them is enough.
+    task = F.struct("block", "i", "j")
+    left = few.groupBy(task.alias("task")).agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node", "part")).alias("y"),
+    )
+    chosen = stored(left.groupBy("n", "x", "y").agg(F.min("task").alias("task")).select("task.*"), "join-chosen")
+    few = stored(few.join(chosen, ["block", "i", "j"]), "join-partners")
+    values = _shingles(documents, nodes, few.select("node").distinct(), seed)
 
+    def exact(group: pa.Table) -> list[tuple]:
+        own = [np.frombuffer(v.as_buffer(), _U) for chunk in group.column("shingles").chunks for v in chunk]
+        return signature_tree.links(own, group.column("cluster").to_pylist(), group.column("part").to_pylist(), percent)
 
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    columns = list(zip(*found, strict=True)) or [(), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+    links = _per_task(few.join(values, "node"), ["cluster", "part", "shingles"], "a long, b long", exact)
+    return stored(links, "join-links")
 
 
 def _joined(documents: DataFrame, percent: int, block_items: int) -> DataFrame:
@@ -284,7 +317,7 @@ def _joined(documents: DataFrame, percent: int, block_items: int) -> DataFrame:
     sets = sets.withColumn("node", _node(seed))
     nodes = sets.where("size > 0").select("node", "text_key")
     first = stored(components(_stars(documents, sets, nodes, percent, seed)), "join-clusters")
-    links = _tree_links(documents, _blocks(sets, first), nodes, percent, seed, block_items)
+    links = _tree_links(documents, sets, _blocks(sets, first), nodes, percent, seed, block_items)
     second = stored(components(links), "join-clusters").select(F.col("node").alias("cluster"), F.col("component").alias("top"))
     rows = sets.select("doc_id", "text_key", "size", "node").join(first, "node", "left")
     rows = rows.withColumn("cluster", F.coalesce("component", "node")).join(second, "cluster", "left")

@@ -113,6 +113,89 @@ class Groups:
         self.parent[max(x, y)] = min(x, y)
 
 
+#: Bits of a set's bitmap per shingle, at least.
+BITS_PER_SHINGLE = 4
+#: Sets up to which a block is joined pair by pair, without trees.
+TINY = 12
+
+
+def width(size: int) -> int:
+    """Bits of a set's own bitmap: a power of two, 256 at least."""
+    return 1 << max(8, (BITS_PER_SHINGLE * size - 1).bit_length())
+
+
+def bitmap(values: np.ndarray) -> bytes:
+    return bitmaps([values], width(len(values)))[0].tobytes()
+
+
+def _order(sizes: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Leaves hold sets of about one size, and of those the ones alike in ``key``."""
+    return np.lexsort((key, np.floor(np.log(sizes) / np.log(1.1))))
+
+
+def _fold(maps: np.ndarray) -> np.ndarray:
+    """Bitmaps of half the width: the upper half is laid over the lower one."""
+    half = maps.shape[1] // 2
+    return maps[:, :half] | maps[:, half:]
+
+
+def partners(maps: list[bytes], sizes: list[int], clusters: list[int], side: list[int], percent: int) -> list[int]:
+    """Indices of the sets that may have a partner, judged by their bitmaps alone. side: as in ``links``.
+
+    Sets are joined per width of their bitmaps, and with those of twice the width, laid over; with links at half
+    of the size at least, other widths can't meet.
+    """
+    if percent < 50:
+        raise ValueError("percent must be 50 at least")
+    if len(maps) <= TINY:
+        return _tiny_partners(maps, sizes, clusters, side, percent)
+    all_sizes, all_clusters, sides = np.array(sizes, np.int64), np.array(clusters, np.int64), np.array(side)
+    widths = np.array([len(m) for m in maps])
+    trees: dict[tuple[int, int], tuple[np.ndarray, Tree, Tree | None]] = {}
+    for w in np.unique(widths).tolist():
+        for k in np.unique(sides).tolist():
+            of = np.flatnonzero((widths == w) & (sides == k))
+            if len(of):
+                own = np.frombuffer(b"".join(maps[i] for i in of), np.uint64).reshape(len(of), -1)
+                order = _order(all_sizes[of], own[:, 0].astype(np.int64))
+                of, own = of[order], own[order]
+                wide = Tree(own, all_sizes[of], all_clusters[of])
+                narrow = Tree(_fold(own), all_sizes[of], all_clusters[of]) if w > 32 else None
+                trees[w, k] = of, wide, narrow
+    found: set[int] = set()
+    for (w, k), (of, wide, _) in trees.items():
+        for (w2, k2), (of2, wide2, narrow2) in trees.items():
+            alone = len(np.unique(sides)) == 1
+            if not alone and k == k2:
+                continue
+            if w2 == w and k2 >= k:
+                left, right = candidates(wide, wide2, percent, k == k2)
+            elif w2 == 2 * w and narrow2 is not None:
+                left, right = candidates(wide, narrow2, percent, False)
+            else:
+                continue
+            found.update(of[left].tolist(), of2[right].tolist())
+    return sorted(found)
+
+
+def _tiny_partners(maps: list[bytes], sizes: list[int], clusters: list[int], side: list[int], percent: int) -> list[int]:
+    numbers = [int.from_bytes(m, "little") for m in maps]
+    found, two_sides = set(), len(set(side)) > 1
+    for i in range(len(maps)):
+        for j in range(i):
+            small, large = (i, j) if sizes[i] <= sizes[j] else (j, i)
+            n, m = sizes[small], sizes[large]
+            if clusters[i] == clusters[j] or (two_sides and side[i] == side[j]) or 100 * n < percent * m:
+                continue
+            x, y, bits = numbers[small], numbers[large], 8 * len(maps[small])
+            if len(maps[large]) > len(maps[small]):
+                y = (y >> bits) | (y & ((1 << bits) - 1))
+            slack = min(n - x.bit_count(), m - y.bit_count())
+            if min((x & y).bit_count() + slack, n) >= -(-percent * (n + m) // (100 + percent)):
+                found.update((i, j))
+    return sorted(found)
+
+
 def links(sets: list[np.ndarray], clusters: list[int], side: list[int], percent: int) -> list[tuple[int, int]]:
     """Linked pairs of clusters that connect all clusters which have a linked pair of sets.
 
@@ -120,15 +203,14 @@ def links(sets: list[np.ndarray], clusters: list[int], side: list[int], percent:
     """
     clusters_of = np.array(clusters, np.int64)
     sizes = np.array([len(s) for s in sets], np.int64)
-    # Leaves hold sets of about one size; similar ones have the same smallest digest often and so share leaves.
-    about = np.floor(np.log(sizes) / np.log(1.1))
+    # Similar sets have the same smallest digest often.
     first = np.array([int(s[0]) >> 1 for s in sets], np.int64)
     bits = 1 << int(max(8, min(12, int(2 * np.median(sizes)).bit_length())))
     maps = bitmaps(sets, bits)
     trees, orders = [], []
     for k in sorted(set(side)):
         of = np.flatnonzero(np.array(side) == k)
-        order = of[np.lexsort((first[of], about[of]))]
+        order = of[_order(sizes[of], first[of])]
         orders.append(order)
         trees.append(Tree(maps[order], sizes[order], clusters_of[order]))
     left, right = candidates(trees[0], trees[-1], percent, len(trees) == 1)
