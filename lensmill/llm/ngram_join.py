@@ -4,7 +4,7 @@ Two texts link when their sets of shingles have a Jaccard index of ``percent`` o
 links are found, but as only the connected components matter, links inside a component that is known already are not
 looked for:
 
-1. *Stars.* Nodes that share one of a few smallest digests are compared with the smallest node of that group, exactly.
+1. *Stars.* Nodes that share one of a few smallest digests are compared with one node of that group, exactly.
    This connects most near copies, also in a group of any size, with one comparison a node.
 2. *Blocks.* A link at Jaccard t needs a common shingle among the first n - ceil(t n) + 1 of each set in any global
    order. Frequent shingles are put last in that order, so passages that many documents share seldom count. A
@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lensmill.llm import signature_tree
 from lensmill.llm.common import stored, whole_text
@@ -39,8 +39,8 @@ _U = np.uint64
 #: Bits of the bitmaps that filter texts and shingles: 4 MB, whatever the table's size.
 BITMAP_BITS = 25
 #: A shingle is frequent from this share of documents on; so there are fewer than its inverse times the mean set size.
-FREQUENT = 0.0005
-N_MINIMA = 3
+FREQUENT = 0.0002
+N_MINIMA = 4
 TEXTS_AT_ONCE = 512
 
 
@@ -187,30 +187,41 @@ def _shingles(documents: DataFrame, nodes: DataFrame, wanted: DataFrame, seed: i
     return stored(_values_of(documents, keys.select("text_key"), seed).join(wanted, "node", "left_semi"), "join-shingles")
 
 
+def _tested(pairs: DataFrame, values: DataFrame, percent: int) -> DataFrame:
+    """The rows of pairs (a, b, and what else) whose sets link, by an exact test."""
+    names = pairs.columns
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = (batch.column("of_a"), batch.column("of_b"))
+            keep = [linked(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U), percent) for x, y in zip(*sides, strict=True)]
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
+
+    with_a = pairs.join(values.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
+    with_b = with_a.join(values.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
+    return with_b.select(*names, "of_a", "of_b").mapInArrow(test, pairs.schema)
+
+
 def _stars(documents: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int, seed: int) -> DataFrame:
-    """Verified links (a, b) of nodes with the smallest node that shares one of their minima."""
+    """Verified links (a, b) of nodes with one node of those that share one of their minima, another one per minimum."""
     minima = sets.where("size > 0").select("node", "size", F.posexplode("minima").alias("k", "value"))
-    lead = minima.groupBy("k", "value").agg(F.min(F.struct("node", "size")).alias("lead"), F.max("node").alias("other"))
-    lead = stored(lead.where("lead.node != other").select("k", "value", "lead"), "join-leads")
+    lead = minima.groupBy("k", "value").agg(
+        F.min_by(F.struct("node", "size"), F.xxhash64("node", "k")).alias("lead"),
+        F.min("node").alias("low"),
+        F.max("node").alias("high"),
+    )
+    lead = stored(lead.where("low != high").select("k", "value", "lead"), "join-leads")
     near = (100 * F.col("size") >= percent * F.col("lead.size")) & (100 * F.col("lead.size") >= percent * F.col("size"))
     pairs = minima.join(lead, ["k", "value"]).where((F.col("node") != F.col("lead.node")) & near)
     pairs = stored(pairs.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct(), "join-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     values = _shingles(documents, nodes, wanted, seed)
-
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = (batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist())
-            keep = [linked(np.frombuffer(x, _U), np.frombuffer(y, _U), percent) for x, y in zip(*sides, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    with_a = pairs.join(values.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
-    with_b = with_a.join(values.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
-    return stored(with_b.select("a", "b", "of_a", "of_b").mapInArrow(test, "a long, b long"), "join-stars")
+    return stored(_tested(pairs, values, percent), "join-stars")
 
 
-def _blocks(sets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(block, node, cluster, members): nodes of different clusters that share a shingle of their prefixes."""
+def _blocks(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """(block, node, cluster, members): nodes of different clusters that share a shingle of their prefixes, and are not
+    alone there with their size."""
     known = sets.where("size > 0")
     spread = known.select(F.explode("prefix").alias("block"), "node").groupBy("block").agg(
         F.min("node").alias("low"), F.max("node").alias("high")
@@ -224,10 +235,19 @@ def _blocks(sets: DataFrame, clusters: DataFrame) -> DataFrame:
             keys = prefix.flatten().to_numpy()
             row = np.repeat(np.arange(len(batch)), prefix.value_lengths().to_numpy())
             kept = _has(bitmap.value, keys)
-            nodes = batch.column("node").take(pa.array(row[kept]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[kept], pa.int64()), nodes], names=["block", "node"])
-
-    found = known.select("prefix", "node").mapInArrow(run, "block long, node long").join(shared, "block", "left_semi").distinct()
+            rows = batch.select(["node", "size"]).take(pa.array(row[kept]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[kept], pa.int64()), *rows.columns], names=["block", "node", "size"])
+
+    found = known.select("prefix", "node", "size").mapInArrow(run, "block long, node long, size long")
+    found = found.join(shared, "block", "left_semi").distinct()
+    # Linked sets differ little in size, so a member's next smaller or next larger one must be near.
+    by_size = Window.partitionBy("block").orderBy("size")
+    near = lambda a, b: 100 * a >= percent * b
+    found = (
+        found.withColumns({"down": F.lag("size").over(by_size), "up": F.lead("size").over(by_size)})
+        .where(near(F.col("down"), F.col("size")) | near(F.col("size"), F.col("up")))
+        .select("block", "node")
+    )
     clustered = found.join(clusters.withColumnRenamed("component", "cluster"), "node", "left")
     members = stored(clustered.select("block", "node", F.coalesce("cluster", "node").alias("cluster")), "join-members")
     folded = members.groupBy("block").agg(
@@ -280,17 +300,30 @@ def _tree_links(
     )
     kept = ["block", "i", "j", "node", "cluster", "part"]
 
+    more = ["other", "other_cluster", "pair"]
+
     def possible(group: pa.Table) -> list[tuple]:
-        found = signature_tree.partners(*(group.column(c).to_pylist() for c in ("bitmap", "size", "cluster", "part")), percent)
-        return list(zip(*(group.column(c).take(found).to_pylist() for c in kept), strict=True)) if found else []
+        """Of a small block its possible pairs, of a large one the members that have a possible partner."""
+        rows = [group.column(c).to_pylist() for c in kept]
+        asked = [group.column(c).to_pylist() for c in ("bitmap", "size", "cluster", "part")]
+        if len(group) <= signature_tree.TINY:
+            pairs = signature_tree.tiny_pairs(*asked, percent)
+            return [(*(r[i] for r in rows), rows[3][j], rows[4][j], 1) for i, j in pairs]
+        return [(*(r[i] for r in rows), 0, 0, 0) for i in signature_tree.partners(*asked, percent)]
 
     asked = _per_task(
         tasks.join(maps, "node"),
         ["node", "cluster", "part", "size", "bitmap"],
-        ", ".join(f"{c} long" for c in kept),
+        ", ".join(f"{c} long" for c in kept + more),
         possible,
     )
-    few = stored(asked, "join-partners")
+    found = stored(asked, "join-partners")
+    of = lambda f, x, y: F.when(F.col("node") < F.col("other"), F.col(x)).otherwise(F.col(y)).alias(f)
+    pairs = found.where("pair = 1").select(
+        of("a", "node", "other"), of("b", "other", "node"), of("cluster_a", "cluster", "other_cluster"), of("cluster_b", "other_cluster", "cluster")
+    )
+    pairs = stored(pairs.distinct(), "join-pairs")
+    few = found.where("pair = 0").select(*kept)
     # What is left of many blocks is alike: one of them is enough.
     task = F.struct("block", "i", "j")
     left = few.groupBy(task.alias("task")).agg(
@@ -300,14 +333,16 @@ def _tree_links(
     )
     chosen = stored(left.groupBy("n", "x", "y").agg(F.min("task").alias("task")).select("task.*"), "join-chosen")
     few = stored(few.join(chosen, ["block", "i", "j"]), "join-partners")
-    values = _shingles(documents, nodes, few.select("node").distinct(), seed)
+    wanted = few.select("node").unionAll(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    values = _shingles(documents, nodes, wanted, seed)
 
     def exact(group: pa.Table) -> list[tuple]:
         own = [np.frombuffer(v.as_buffer(), _U) for chunk in group.column("shingles").chunks for v in chunk]
         return signature_tree.links(own, group.column("cluster").to_pylist(), group.column("part").to_pylist(), percent)
 
     links = _per_task(few.join(values, "node"), ["cluster", "part", "shingles"], "a long, b long", exact)
-    return stored(links, "join-links")
+    single = _tested(pairs, values, percent).select(F.col("cluster_a").alias("a"), F.col("cluster_b").alias("b"))
+    return stored(links.unionAll(single), "join-links")
 
 
 def _joined(documents: DataFrame, percent: int, block_items: int) -> DataFrame:
@@ -317,7 +352,7 @@ def _joined(documents: DataFrame, percent: int, block_items: int) -> DataFrame:
     sets = sets.withColumn("node", _node(seed))
     nodes = sets.where("size > 0").select("node", "text_key")
     first = stored(components(_stars(documents, sets, nodes, percent, seed)), "join-clusters")
-    links = _tree_links(documents, sets, _blocks(sets, first), nodes, percent, seed, block_items)
+    links = _tree_links(documents, sets, _blocks(sets, first, percent), nodes, percent, seed, block_items)
     second = stored(components(links), "join-clusters").select(F.col("node").alias("cluster"), F.col("component").alias("top"))
     rows = sets.select("doc_id", "text_key", "size", "node").join(first, "node", "left")
     rows = rows.withColumn("cluster", F.coalesce("component", "node")).join(second, "cluster", "left")

@@ -148,7 +148,7 @@ def partners(maps: list[bytes], sizes: list[int], clusters: list[int], side: lis
     if percent < 50:
         raise ValueError("percent must be 50 at least")
     if len(maps) <= TINY:
-        return _tiny_partners(maps, sizes, clusters, side, percent)
+        return sorted({i for pair in tiny_pairs(maps, sizes, clusters, side, percent) for i in pair})
     all_sizes, all_clusters, sides = np.array(sizes, np.int64), np.array(clusters, np.int64), np.array(side)
     widths = np.array([len(m) for m in maps])
     trees: dict[tuple[int, int], tuple[np.ndarray, Tree, Tree | None]] = {}
@@ -178,9 +178,12 @@ def partners(maps: list[bytes], sizes: list[int], clusters: list[int], side: lis
     return sorted(found)
 
 
-def _tiny_partners(maps: list[bytes], sizes: list[int], clusters: list[int], side: list[int], percent: int) -> list[int]:
+def tiny_pairs(
+    maps: list[bytes], sizes: list[int], clusters: list[int], side: list[int], percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of a small block that the bitmaps can't rule out, by comparing all of them."""
     numbers = [int.from_bytes(m, "little") for m in maps]
-    found, two_sides = set(), len(set(side)) > 1
+    found, two_sides = [], len(set(side)) > 1
     for i in range(len(maps)):
         for j in range(i):
             small, large = (i, j) if sizes[i] <= sizes[j] else (j, i)
@@ -192,8 +195,8 @@ def _tiny_partners(maps: list[bytes], sizes: list[int], clusters: list[int], sid
                 y = (y >> bits) | (y & ((1 << bits) - 1))
             slack = min(n - x.bit_count(), m - y.bit_count())
             if min((x & y).bit_count() + slack, n) >= -(-percent * (n + m) // (100 + percent)):
-                found.update((i, j))
-    return sorted(found)
+                found.append((i, j))
+    return found
 
 
 def links(sets: list[np.ndarray], clusters: list[int], side: list[int], percent: int) -> list[tuple[int, int]]:
