@@ -1,6 +1,7 @@
 """Fingerprints, shards and page text against brute force and on hand-made cases."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -138,3 +139,34 @@ def test_article_passages_that_repeat_stay(spark):
     page = lambda i: f"<article><p>Own text {i}</p><p>The same passage</p><p class=cta>Press here</p></article>"
     pages = spark.createDataFrame([(i, "http://h.example/", page(i)) for i in range(30)], "page_id long, url string, html string")
     assert {r.text for r in html_text.extract(pages).collect()} == {f"Own text {i}\nThe same passage" for i in range(30)}
+
+
+def brute_tree(pages, min_pages=8, low=0.3):
+    """(host, path) of low content importance, over the distinct pages of each host."""
+    counts, there = defaultdict(int), defaultdict(int)
+    for host, html in {(html_text._host(url), html) for _, url, html in pages}:
+        page = {(path, text) for path, text, *_ in html_text.blocks(html)}
+        for path, text in page:
+            counts[host, path, text] += 1
+        for path in {path for path, _ in page}:
+            there[host, path] += 1
+    faint = set()
+    for (host, path), m in there.items():
+        logs = [math.log(n, m) if m > 1 else 0 for (h, p, _), n in counts.items() if (h, p) == (host, path)]
+        if m >= min_pages and 1 - sum(logs) / len(logs) < low:
+            faint.add((host, html_text._digest(path)))
+    return faint
+
+
+def test_copies_of_pages_count_once(spark):
+    page = lambda k: f"<nav>Menu</nav><article><h1>Head {k}</h1><p>Body {k} one</p><p>Body {k} two</p></article>"
+    menu = lambda i: f"<div>Home</div><p>Text {i}</p>"
+    rows = [(i, url, page(i % 2)) for i, url in enumerate(["http://copies.example/", None] * 30)] + [(100 + i, None, page(i % 2)) for i in range(9)]
+    rows += [(200 + i, "http://own.example/", menu(i % 12)) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    for i, _, html in rows:
+        k = html[html.index("Head ") + 5] if "Head " in html else None
+        assert found[i] == (f"Head {k}\nBody {k} one\nBody {k} two" if k else f"Text {(i - 200) % 12}")
+    got = {(r.its_host, p) for r in html_text.style_tree(pages).collect() for p in r.paths}
+    assert got == brute_tree(rows) and len(got) == 1
