@@ -2,7 +2,8 @@
 
 Base matches come from four patterns. For disguised ones a chain of transducers rewrites the text: look-alike
 letters and digits of other scripts become ASCII, invisible characters go, "[at]" and "dot" in brackets or words
-become signs, spelled digits become figures. Each transducer keeps a map of segments from its output to its
+become signs, spelled digits and digit groups among them become figures. Each match is decided by itself and the words
+right before it, never by what else the document holds. Each transducer keeps a map of segments from its output to its
 input, so a match in the rewritten text maps back to the span of source characters it stands for. Base spans
 always stay; a mapped span that overlaps a base span of its kind is not new and is left out.
 
@@ -51,20 +52,39 @@ _STRANGE = re.compile("[" + re.escape("".join(_ALIKE)) + _INVISIBLE + "]+")
 
 _AT_WORD, _DOT_WORD = r"(?:at|arroba|arobase|klammeraffe)", r"(?:dot|punkt|punto|point)"
 _BRACKETED = re.compile(
-    rf"\s*[\[({{<]\s*(?:(?P<at>@|{_AT_WORD})|\.|{_DOT_WORD})\s*[\])}}>]\s*", re.IGNORECASE
+    rf"(?<!\s)\s*[\[({{<]\s*(?:(?P<at>@|{_AT_WORD})|\.|{_DOT_WORD})\s*[\])}}>]\s*", re.IGNORECASE
 )
-# In words only as a whole address: name at host dot end.
-_IN_WORDS = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9._%+-]+)(?P<at>\s+{_AT_WORD}\s+|@)(?P<host>[A-Za-z0-9-]+(?:(?:\s+{_DOT_WORD}\s+|\.)[A-Za-z0-9-]+)+)",
-    re.IGNORECASE,
-)
-# Where even the sign is a word, the last name must be one of these; fixed values.
+# Where the sign is a word, the last name must be one of these; fixed values.
 _TOP_NAMES = frozenset(
     "com org net edu gov mil int info biz io co app dev me tv uk de fr es it nl eu us ca au ch at be pl pt br mx ar cl in jp cn kr ru se no"
     " dk fi ie cz gr example test".split()
 )
+_DOT = rf"(?:\s+{_DOT_WORD}\s+|\.)"
+_KNOWN_HOST = rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*{_DOT}(?:{'|'.join(sorted(_TOP_NAMES))})(?![A-Za-z0-9-])"
+# Only as a whole address: name at host dot end. Whether a match counts is seen from the match and the words before it.
+_AT_IN_WORDS = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9._%+-]+)\s+{_AT_WORD}\s+"
+    rf"(?P<host>{_KNOWN_HOST})",
+    re.IGNORECASE,
+)
+_HAS_AT_WORD = re.compile(rf"\s{_AT_WORD}\s+[A-Za-z0-9-]+{_DOT}", re.IGNORECASE)
+_DOT_IN_WORDS = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9._%+-]+)@(?P<host>{_KNOWN_HOST}|[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+)",
+    re.IGNORECASE,
+)
+# Words that stand before "at host" in prose and are no names; fixed values.
+_NO_NAMES = frozenset(
+    "i me you he him she her it we us they them this that here there now today online only more out up back not and or is are was were be been"
+    " live look looks looking shop shops shopping buy bought order orders sell sells sold sale visit see seen find found available start meet"
+    " join read learn apply book work works worked working stay hosted posted published listed store stores site page down arrive arrived".split()
+)
+# What asks for an address before a name that may be any word; fixed values.
+_ASKS = re.compile(
+    r"(?<!\w)(?:write(?:\s+to)?|(?:e-?)?mail(?:\s+(?:to|is))?|contact|reach|message|address(?:\s+is)?|schreib\w*(?:\s+an)?|kontakt\w*"
+    r"|escrib\w*(?:\s+a)?|correo|écri\w*(?:\s+à)?|courriel|contact\w*)\s*:?\s*\Z",
+    re.IGNORECASE,
+)
 _WORDED_DOT = re.compile(rf"\s+{_DOT_WORD}\s+", re.IGNORECASE)
-_HAS_DOT_WORD = re.compile(rf"\s{_DOT_WORD}\s", re.IGNORECASE)
 # Digits as words in English, German, French and Spanish; fixed values.
 _SPELLED = {
     "zero": 0, "oh": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
@@ -73,11 +93,16 @@ _SPELLED = {
     "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
 }
 _NUMBER = "|".join(sorted(_SPELLED, key=len, reverse=True))
+_NUMBERS = rf"(?:{_NUMBER}|[0-9]+)"
 _SPOKEN = re.compile(
-    rf"(?<!\w)(?:(?P<plus>plus|más)\s+)?(?:{_NUMBER}|[0-9])(?:[\s,.-]+(?:{_NUMBER}|[0-9])){{7,}}(?!\w)", re.IGNORECASE
+    rf"(?<!\w)(?P<plus>(?:plus|más)\s+|\+\s*)?(?P<digits>{_NUMBERS}(?:[\s,.()-]+{_NUMBERS})+)(?!\w)", re.IGNORECASE
 )
-_HAS_SPOKEN = re.compile(rf"(?<!\w)(?:{_NUMBER})[\s,.-]+(?:{_NUMBER}|[0-9])[\s,.-]", re.IGNORECASE)
-_SPOKEN_PART = re.compile(rf"{_NUMBER}|[0-9]", re.IGNORECASE)
+_HAS_SPOKEN = re.compile(rf"(?<!\w)(?:{_NUMBER})[\s,.()-]+{_NUMBERS}|[0-9][\s,.()-]+(?:{_NUMBER})(?!\w)", re.IGNORECASE)
+_SPOKEN_PART = re.compile(rf"{_NUMBER}|[0-9]+", re.IGNORECASE)
+# Four numbers of up to three digits, in figures or digit by digit in words.
+_BYTE = rf"(?:[0-9]{{1,3}}|(?:{_NUMBER})(?:[\s-]+(?:{_NUMBER})){{0,2}})"
+_IP_IN_WORDS = re.compile(rf"(?<![\w.]){_BYTE}(?:{_DOT}{_BYTE}){{3}}(?!\w)", re.IGNORECASE)
+_HAS_IP_WORD = re.compile(rf"[0-9]\s+{_DOT_WORD}\s|(?<!\w)(?:{_NUMBER}){_DOT}|[0-9]\.(?:{_NUMBER})", re.IGNORECASE)
 
 
 def _small(part: str) -> bool:
@@ -157,33 +182,52 @@ class Rewritten:
 
 
 def _address(m: re.Match) -> str | None:
-    host = _WORDED_DOT.sub(".", m["host"])
-    plain = m["at"] == "@" or host.rpartition(".")[2].lower() in _TOP_NAMES
-    return f"{m['name']}@{host}" if plain else None
+    """An address if its dots are words, its name is no plain word, or the words before ask for one."""
+    name = m["name"]
+    if name.lower() in _NO_NAMES:
+        return None
+    told = _WORDED_DOT.search(m["host"]) or not name.isalpha() or _ASKS.search(m.string[max(0, m.start() - 40) : m.start()])
+    return f"{name}@{_WORDED_DOT.sub('.', m['host'])}" if told else None
+
 
+def _figures(text: str) -> str:
+    return "".join(d if d.isdigit() else str(_SPELLED[d.lower()]) for d in _SPOKEN_PART.findall(text))
 
-def _spoken(m: re.Match) -> str:
-    digits = "".join(d if d.isdigit() else str(_SPELLED[d.lower()]) for d in _SPOKEN_PART.findall(m[0][len(m["plus"] or "") :]))
-    return ("+" if m["plus"] else "") + digits
+
+def _spoken_ip(m: re.Match) -> str | None:
+    if m[0].replace(".", "").isdigit():
+        return None
+    return ".".join(map(_figures, re.split(_DOT, m[0], flags=re.IGNORECASE)))
+
+
+def _spoken(m: re.Match) -> str | None:
+    """Single digits, or groups of them among words: after a plus, or with three words and no commas or full stops."""
+    parts = _SPOKEN_PART.findall(m["digits"])
+    words = sum(not d.isdigit() for d in parts)
+    singly = len(parts) >= 8 and all(len(d) == 1 or not d.isdigit() for d in parts)
+    if not words or not (singly or m["plus"] or (words >= 3 and not re.search("[,.]", m["digits"]))):
+        return None
+    digits = _figures(m["digits"])
+    return ("+" if m["plus"] else "") + digits if len(digits) >= 8 else None
+
+
+#: Patterns, in their order; each runs where the text as rewritten so far has what every match of it has.
+_TRANSDUCERS = (
+    (_STRANGE, _STRANGE, lambda m: "".join(_ALIKE.get(c, "") for c in m[0])),
+    (_BRACKETED, _BRACKETED, lambda m: "@" if m["at"] else "."),
+    (re.compile(rf"@[A-Za-z0-9.-]+\s+{_DOT_WORD}\s", re.IGNORECASE), _DOT_IN_WORDS, lambda m: f"{m['name']}@{_WORDED_DOT.sub('.', m['host'])}"),
+    (_HAS_AT_WORD, _AT_IN_WORDS, _address),
+    (_HAS_IP_WORD, _IP_IN_WORDS, _spoken_ip),
+    (_HAS_SPOKEN, _SPOKEN, _spoken),
+)
 
 
 def rewrite(text: str) -> Rewritten | None:
     """The text after all transducers; None where nothing in it is disguised."""
-    strange = _STRANGE.search(text) is not None
-    bracketed = _BRACKETED.search(text) is not None
-    worded = _HAS_DOT_WORD.search(text) is not None
-    spoken = _HAS_SPOKEN.search(text) is not None
-    if not (strange or bracketed or worded or spoken):
-        return None
     out = Rewritten(text)
-    if strange:
-        out.apply(_STRANGE, lambda m: "".join(_ALIKE.get(c, "") for c in m[0]))
-    if strange or bracketed:
-        out.apply(_BRACKETED, lambda m: "@" if m["at"] else ".")
-    if strange or worded:
-        out.apply(_IN_WORDS, _address)
-    if strange or spoken:
-        out.apply(_SPOKEN, _spoken)
+    for needed, pattern, replace in _TRANSDUCERS:
+        if needed.search(out.text):
+            out.apply(pattern, replace)
     return out if out.maps else None
 
 

@@ -87,3 +87,31 @@ def test_edges_and_redaction(make, edges, empty):
     assert rows[2].text is None and rows[3].text == "" and rows[1].row == "row"
     again = pii.redact(edges).collect()
     assert sorted((r.text or "" for r in again)) == sorted(t or "" for _, t, _, _ in EDGE_ROWS)
+
+
+@pytest.mark.parametrize(
+    "text, kind, span",
+    [
+        ("write to jo at example.com now", "email", "jo at example.com"),
+        ("ask jo.doe at example.com", "email", "jo.doe at example.com"),
+        ("mail jo (at) example dot com point taken", "email", "jo (at) example dot com"),
+        ("it is jo at example dot com point taken", "email", "jo at example dot com"),
+        ("host 192 dot 168 dot 0 dot 1 up", "ip", "192 dot 168 dot 0 dot 1"),
+        ("host one nine two dot 168.zero point one up", "ip", "one nine two dot 168.zero point one"),
+        ("call plus one 555 five five five 0123 now", "phone", "plus one 555 five five five 0123"),
+        ("Shop at amazon.com", "email", ""),
+        ("see us at example dot com", "email", ""),
+        ("one, two, three, 2019, 2020, 2021", "card", ""),
+    ],
+)
+@pytest.mark.parametrize("around", ["{}", "{} for the best point of sale", "a\u00a0b {}", "x \u2013 y. {}", "one two three four five six seven eight. {}"])
+def test_matches_do_not_depend_on_other_text(text, kind, span, around):
+    whole = around.format(text)
+    base, spans = pii.all_spans(whole)
+    added = [whole[a:b] for a, k, b in spans if (a, k, b) not in base and pii.KINDS[k] == kind]
+    assert added == [span] * bool(span)
+
+
+def test_worded_texts_take_linear_time():
+    for text in ("a at " * 60_000, "a at a." * 40_000, "1 dot " * 60_000, "one 55 " * 40_000, "a at a dot " * 30_000, " " * 200_000, "jo@a dot " * 40_000, "1.one." * 40_000):
+        pii.all_spans(text)
