@@ -170,3 +170,18 @@ def test_copies_of_pages_count_once(spark):
         assert found[i] == (f"Head {k}\nBody {k} one\nBody {k} two" if k else f"Text {(i - 200) % 12}")
     got = {(r.its_host, p) for r in html_text.style_tree(pages).collect() for p in r.paths}
     assert got == brute_tree(rows) and len(got) == 1
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<article class='post category-social'><p>Main</article><p>other", "Main"),
+        ("<div class='has-comments'><article><p>Main<div class=share>Share</div></article></div><p>other", "Main"),
+        ("<div class='promo'><div class='login'><main><p>Main</main></div></div><p>other", "Main"),
+        ("<article><p>Main</article><section class=comments><article>Nice</article></section>", "Main"),
+        ("<div role=dialog><article>Box</article></div><p>other", "other"),
+        ("<aside><article class=related>Box</article></aside><p>other", "other"),
+    ],
+)
+def test_class_words_spare_articles(html, want):
+    assert html_text.main_text(html_text.blocks(html), set()) == want
