@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,26 +17,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else the one set on the context, else in the
-    warehouse."""
+    """The folder that driver and executors share: spark.checkpoint.dir, else the one set on the context. On a single
+    machine, which sees its own disk, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return folder or (own.get() if own.isDefined() else f"{spark.conf.get('spark.sql.warehouse.dir')}/shared")
+    if folder or own.isDefined():
+        return folder or own.get()
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+#: Per open job, innermost last, the folders to remove when it ends.
+_JOBS: list[list[str]] = []
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside are removed when it ends; one stored with ``result=True`` outlives it."""
+    _JOBS.append([])
+    try:
+        yield
+    finally:
+        for path in _JOBS.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stored(frame: DataFrame, label: str, result: bool = False) -> DataFrame:
     """Writes a frame to the shared folder and returns it reread.
 
     This cuts the lineage and survives lost executors. The reread table has a known size, so Spark
-    broadcasts it only where it is below the session's threshold. The folder is left to the owner of
-    the shared folder, since the result is read lazily.
+    broadcasts it only where it is below the session's threshold. Inside a ``job`` the folder goes with the job, a
+    ``result`` with the job around it; else it is left to the owner of the shared folder, since it is read lazily.
     """
     path = new_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
+    for folders in _JOBS[-2:-1] if result else _JOBS[-1:]:
+        folders.append(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from lensmill.llm import (
     bpe,
     fingerprints,
     html_text,
+    lexical_search,
     mixing,
     ngram_join,
     packing,
@@ -72,6 +73,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"), **_bpe_50k())
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
@@ -83,10 +88,12 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
     "op1_mix_sources": f"select * exclude (source) from ({mixing.mix_sql()})",
+    "op13_lexical_search": lexical_search.search_sql(),
 }
 
 
