@@ -31,6 +31,28 @@ def version(path: str) -> str:
         return hashlib.sha256(file.read()).hexdigest()
 
 
+def ranked(path: str, ranks_path: str):
+    """A ``tiktoken`` encoding of the vocabulary; None where there are no ranks, or where the .json file splits or changes
+    texts in another way than the pattern here."""
+    if not os.path.exists(ranks_path):
+        return None
+    import tiktoken
+
+    with open(path) as file:
+        stated = json.load(file)
+    if stated["normalizer"] is not None or not _splits_as_assumed(stated["pre_tokenizer"]):
+        return None
+    with open(ranks_path, "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    special = {t["content"]: t["id"] for t in stated["added_tokens"]}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def _splits_as_assumed(stated: dict | None) -> bool:
+    """Whether a file's pre-tokenizer is the byte-level one, with its own pattern and no added space."""
+    return bool(stated) and stated["type"] == "ByteLevel" and not stated["add_prefix_space"] and stated.get("use_regex", True)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, ranks_path: str | None = None) -> Callable[[str], list[int]]:
     """Text -> ids, without begin or end tokens; special strings in a text count as the special token.
@@ -43,15 +65,9 @@ def encoder(path: str, ranks_path: str | None = None) -> Callable[[str], list[in
     plain.no_truncation()
     plain.no_padding()
     slow = lambda text: plain.encode(text, add_special_tokens=False).ids
-    if ranks_path is None or not os.path.exists(ranks_path):
+    fast = ranked(path, ranks_path) if ranks_path else None
+    if fast is None:
         return slow
-    import tiktoken
-
-    with open(ranks_path, "rb") as file:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    with open(path) as file:
-        special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
-    fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(text: str) -> list[int]:
         try:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lensmill.llm import (
+    alignment,
     bpe,
     fingerprints,
     html_text,
@@ -73,6 +74,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"), **_bpe_50k())
 
 
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, ranks, b = (bpe.public_path(f) for f in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"))
+    return alignment.align_documents(table(spark, sf_dir, "documents"), a, b, a_ranks=ranks)
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
+    "op12_align_tokenizers": op12_align_tokenizers,
     "op13_lexical_search": op13_lexical_search,
 }
 
