@@ -12,6 +12,7 @@ from lensmill.llm import (
     fingerprints,
     html_text,
     lexical_search,
+    minmax,
     mixing,
     ngram_join,
     packing,
@@ -74,6 +75,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"), **_bpe_50k())
 
 
+def op11_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=3)
+
+
 def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, ranks, b = (bpe.public_path(f) for f in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"))
     return alignment.align_documents(table(spark, sf_dir, "documents"), a, b, a_ranks=ranks)
@@ -94,12 +99,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
+    "op11_minmax_near_duplicates": op11_minmax_near_duplicates,
     "op12_align_tokenizers": op12_align_tokenizers,
     "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
     "op1_mix_sources": f"select * exclude (source) from ({mixing.mix_sql()})",
+    "op11_minmax_near_duplicates": minmax.near_duplicates_sql(percent=85, width=3),
     "op13_lexical_search": lexical_search.search_sql(),
 }
 
