@@ -152,6 +152,19 @@ from (select *, 'prod' as env from {{customer}} union all select *, 'test' as en
 """
 
 
+# Two environments per customer whose lines occur once a body: some are moved, put in, left out or on one side alone.
+_LINES = [f"'{k} ' || cast(c_custkey * {k + 1} as string)" for k in range(8)]
+_ORDERS = ["01234567", "01234567", "12345670", "70123456", "01432567", "10325476", "76543210", "0123x567", "x0123467"]
+REORDERED = f"""
+select c_custkey as response_id, env, case {" ".join(
+    f"when env = 'test' and c_custkey % {len(_ORDERS)} = {n} then "
+    + " || chr(10) || ".join("'new'" if k == "x" else _LINES[int(k)] for k in order)
+    for n, order in enumerate(_ORDERS)
+)} else {" || chr(10) || ".join(_LINES)} end as body
+from (select *, 'prod' as env from {{customer}} union all select *, 'test' as env from {{customer}} where c_custkey % 41 > 0) as both_sides
+"""
+
+
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Runs one of the texts above over the source tables."""
     tables = {t: source(spark, sf_dir, t) for t in ("orders", "customer") if f"{{{t}}}" in text}

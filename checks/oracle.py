@@ -18,6 +18,7 @@ DIMENSIONS = {
     "coded_names": I.derived_sql(I.CODED_NAMES),
     "coded_branches": I.CODED_BRANCHES,
     "responses": I.derived_sql(I.RESPONSES),
+    "reordered": I.derived_sql(I.REORDERED),
 }
 SOURCES = VIEWS | DIMENSIONS
 
@@ -554,6 +555,37 @@ from ({side('prod')}) l full join ({side('test')}) r using (response_id, line, n
     return with_sources(body, "responses")
 
 
+def response_alignment() -> str:
+    """For bodies of few lines that occur once each: all ascending runs of common lines are listed."""
+
+    def side(env: str) -> str:
+        return (
+            "select response_id, cast(generate_subscripts(x, 1) - 1 as int) as line_no, unnest(x) as line from"
+            f" (select response_id, string_split(body, chr(10)) as x from reordered where env = '{env}')"
+        )
+
+    pairs = "select response_id, l.line_no as l, r.line_no as r from l join r using (response_id, line)"
+    runs = (
+        "select response_id, l, r, 1 as n from pairs union"
+        " select p.response_id, p.l, p.r, n + 1 from runs join pairs p on p.response_id = runs.response_id and p.l > runs.l and p.r > runs.r"
+    )
+    kept = (
+        "select response_id, max(l), n from longest where (response_id, n) in (select response_id, max(n) from longest group by 1)"
+        " group by 1, 3 union all select b.response_id, max(b.l), b.n from kept join longest b"
+        " on b.response_id = kept.response_id and b.n = kept.n - 1 and b.l < kept.l group by 1, 3"
+    )
+    both = "full join r using (response_id, line) left join kept k on k.response_id = l.response_id and k.l = l.line_no"
+    body = f"""
+select response_id, case when r.line_no is null then 'removed' when l.line_no is null then 'added' else 'moved' end as change,
+ l.line_no as left_no, r.line_no as right_no, case when l.line_no is not null then line end as left_line,
+ case when r.line_no is not null then line end as right_line
+from l {both} where k.l is null"""
+    longest = "select response_id, l, max(n) as n from runs group by all"
+    extra = {"l": side("prod"), "r": side("test"), "pairs": pairs, "runs(response_id, l, r, n)": runs, "longest": longest}
+    sql = with_sources(body, "reordered", extra | {"kept(response_id, l, n)": kept})
+    return sql.replace("with ", "with recursive ", 1)
+
+
 def search_keys() -> str:
     def padded(x: str, n: int) -> str:
         return f"case when length({x}) < {n} then rpad({x}, {n}, '~') else {x} end"
@@ -660,6 +692,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "response_diff": response_diff(),
         "response_diff_aligned": response_diff_aligned(),
+        "response_alignment": response_alignment(),
         "eligibility_cleared": _eligibility("*", _CLEAR),
         "eligibility_cleared_count": _eligibility("count(*) as cleared", _CLEAR),
         "eligibility_kept": _eligibility("*", f"({_CLEAR}) is not true"),

@@ -188,6 +188,7 @@ REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "request_keys": lambda x: enquiry.request_keys(x.clinic["patient"], "MEMBER_NUMBER"),
     "response_diff": lambda x: enquiry.response_diff(x.derive(I.RESPONSES)),
     "response_diff_aligned": lambda x: enquiry.response_diff(x.derive(I.RESPONSES), aligned=True),
+    "response_alignment": lambda x: enquiry.response_alignment(x.derive(I.REORDERED)),
     "benefit_landing": _landing,
     # sinks, and the library's own layout
     "report_csv": _report_csv,

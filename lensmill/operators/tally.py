@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Bits of a mask; one test each for a metric, for what is taken off it, and for the roster.
 MAX_TESTS = 63
+#: Distinct tests up to which a fact is filtered before it is folded.
+FILTER_TESTS = 8
 
 
 @dataclass(frozen=True)
@@ -120,9 +122,11 @@ def _project(fact: Fact, plan: _Plan) -> DataFrame:
     """Key, entity, mask and row-level measures of one fact; units are folded here already."""
     tests = [(m.where, plan.bit[m.name]) for m in fact.metrics]
     tests += [(m.less, plan.less_bit[m.name]) for m in fact.metrics if m.less]
-    # Rows that no test matches add nothing. Spark takes the parts of this filter that one table answers to its scan.
+    # Rows that no test matches add nothing. Spark takes the parts of this filter that one table answers to its scan. With
+    # many tests it would keep nearly all rows and cost more than the folds save.
     wanted = sorted({test for test, _ in tests})
-    frame = fact.frame if "true" in wanted else fact.frame.filter(" or ".join(f"({test})" for test in wanted))
+    narrow = "true" not in wanted and len(wanted) <= FILTER_TESTS
+    frame = fact.frame.filter(" or ".join(f"({test})" for test in wanted)) if narrow else fact.frame
     columns = [f"{expression} as {name}" for name, expression in fact.keys.items()]
     if fact.entity:
         columns.append(f"{fact.entity} as _entity")

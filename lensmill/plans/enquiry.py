@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lensmill.functions.exprs import pad_right
+from lensmill.operators.lines import changes
 
 # Record layouts (fixed values): text before the field, name, pattern, width.
 _TEXT = {
@@ -215,6 +219,43 @@ def _unmatched(own: str, other: str, change: str) -> Column:
     )
 
 
+def response_alignment(responses: DataFrame, left: str = "prod", right: str = "test") -> DataFrame:
+    """Lines that differ between two environments' responses, each paired in order with its like on the other side.
+
+    ``change`` is removed, added, or moved (the line is on both sides, but not in the order of the others), with the
+    line's place on either side. A response that only one environment has is all removed or all added. Unequal bodies are
+    aligned in the task that holds them, in time near linear in their lines; nothing is shuffled but the bodies, once.
+    """
+
+    def side(env: str, name: str) -> DataFrame:
+        return responses.filter(F.col("env") == env).select("response_id", F.col("body").alias(name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                bodies = [batch.column(c)[k].as_py() for c in ("_left", "_right")]
+                lines = [[] if b is None else re.split("\r?\n", b) for b in bodies]
+                found = changes(*lines)
+                columns = list(zip(*found, strict=True)) or [()] * 3
+                texts = [[None if p is None else own[p] for p in at] for own, at in zip(lines, columns[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("response_id").take(pa.array([k] * len(found), pa.int64())),
+                        pa.array(columns[0], pa.string()),
+                        *(pa.array(at, pa.int32()) for at in columns[1:]),
+                        *(pa.array(t, pa.string()) for t in texts),
+                    ],
+                    names=["response_id", "change", "left_no", "right_no", "left_line", "right_line"],
+                )
+
+    pairs = side(left, "_left").join(side(right, "_right"), "response_id", "full_outer")
+    unequal = pairs.filter(~F.col("_left").eqNullSafe(F.col("_right")))
+    key = responses.schema["response_id"].dataType.simpleString()
+    return unequal.mapInArrow(
+        run, f"response_id {key}, change string, left_no int, right_no int, left_line string, right_line string"
+    )
+
+
 # Enquiries keyed by one number, and which number that is (fixed values).
 REQUEST_NUMBERS = {"DEP": "policy", "DETAILS": "policy", "HISTC": "policy", "HISTP": "member", "GAPS": "member"}
 

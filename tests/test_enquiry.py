@@ -1,5 +1,13 @@
+import itertools
+import random
+import time
+from collections import Counter
 from datetime import date
 
+import numpy as np
+import pytest
+
+from lensmill.operators import lines
 from lensmill.plans import enquiry, maintenance
 from tests.conftest import day, rows, ts
 
@@ -104,3 +112,77 @@ def test_response_diff_aligned(spark):
         (1, 3, "added", None, "in between"),
         (3, 0, "removed", "gone", None),
     ]
+
+
+
+def test_response_alignment(spark):
+    frame = responses(
+        spark,
+        (1, "prod", "a\nb\nc"),
+        (1, "test", "c\nb\na"),
+        (2, "prod", "same"),
+        (2, "test", "same"),
+        (3, "prod", "gone\r\ntwice\ntwice"),
+        (4, "test", ""),
+        (5, "prod", "a\nx\nx\nb\nx"),
+        (5, "test", "a\nx\nb\nnew\nx"),
+        (6, "prod", None),
+        (6, "test", None),
+    )
+    assert rows(enquiry.response_alignment(frame)) == sorted(
+        [
+            (1, "moved", 0, 2, "a", "a"),
+            (1, "moved", 1, 1, "b", "b"),
+            (3, "removed", 0, None, "gone", None),
+            (3, "removed", 1, None, "twice", None),
+            (3, "removed", 2, None, "twice", None),
+            (4, "added", None, 0, None, ""),
+            (5, "removed", 2, None, "x", None),
+            (5, "added", None, 3, None, "new"),
+        ],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_alignment_keeps_order_and_accounts_for_every_line(seed):
+    rng = random.Random(seed)
+    for _ in range(150):
+        left = [rng.choice("abcdefghij"[: rng.randrange(1, 11)]) for _ in range(rng.randrange(0, 14))]
+        right = list(left)
+        for _ in range(rng.randrange(0, 5)):
+            at = rng.randrange(0, len(right) + 1)
+            right[at : at + rng.randrange(0, 2)] = rng.choices("abcdexyz", k=rng.randrange(0, 3))
+        codes = {x: k for k, x in enumerate({*left, *right})}
+        i, j = lines.aligned(*(np.array([codes[x] for x in side], np.int64) for side in (left, right)))
+        assert all(left[a] == right[b] for a, b in zip(i, j, strict=True))
+        assert (np.diff(i) > 0).all() and (np.diff(j) > 0).all()
+        found = lines.changes(left, right)
+        assert sorted([*i.tolist(), *(a for _, a, _ in found if a is not None)]) == list(range(len(left)))
+        assert sorted([*j.tolist(), *(b for _, _, b in found if b is not None)]) == list(range(len(right)))
+        assert all(left[a] == right[b] for kind, a, b in found if kind == "moved")
+        over = Counter(left[a] for kind, a, _ in found if kind == "removed")
+        assert not over.keys() & {right[b] for kind, _, b in found if kind == "added"}
+
+
+def test_longest_ascending_run_equals_brute_force():
+    rng = random.Random(4)
+    for _ in range(200):
+        places = rng.sample(range(20), rng.randrange(0, 9))
+        run = lines.ascending(places)
+        longest = max((len(c) for n in range(len(places) + 1) for c in itertools.combinations(places, n) if list(c) == sorted(c)), default=0)
+        assert [places[k] for k in run] == sorted(places[k] for k in run) and len(run) == longest
+
+
+def test_alignment_of_long_bodies_takes_seconds(spark):
+    """50,000 lines, of which many are alike, in another order, or in no order at all."""
+    rng = random.Random(1)
+    body = [f"line {k}" if k % 3 else "same" for k in range(50_000)]
+    moved = body[:10_000] + body[30_000:] + body[10_000:30_000]
+    mixed = rng.sample(body, len(body))
+    frame = responses(spark, *((k, env, "\n".join(b)) for k, other in enumerate((moved, mixed, body[::-1])) for env, b in (("prod", body), ("test", other))))
+    began = time.perf_counter()
+    counts = enquiry.response_alignment(frame).groupBy("response_id", "change").count().collect()
+    assert time.perf_counter() - began < 30
+    assert {r.change for r in counts} == {"moved"}
+    assert [r["count"] for r in counts if r.response_id == 0][0] <= 20_000
