@@ -17,6 +17,7 @@ ORDERS_AS_OF = date(1998, 11, 15)
 EVENTS_AS_OF = date(2024, 1, 8)
 MONTH = previous_month(ORDERS_AS_OF)
 WEEK = trailing_week(ORDERS_AS_OF)
+LAST_WEEK = DateRange(date(1998, 10, 25), date(1998, 10, 31))
 EVENT_WEEK = trailing_week(EVENTS_AS_OF)
 AHEAD = look_ahead(EVENTS_AS_OF)
 ALL_ORDER_DATES = DateRange(date(1995, 1, 1), date(2001, 12, 31))

@@ -699,6 +699,10 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["report_csv"] = sql["branch_masterdata_monthly_layout"] = sql["branch_masterdata"]
     sql["dispenser_csv_by_branch"] = sql["dispenser_scorecard_monthly_layout"] = sql["dispenser_scorecard"]
+    sql["branch_masterdata_from_days"] = branch_masterdata(I.LAST_WEEK, events)
+    sql["dispenser_scorecard_from_days"] = sql["dispenser_scorecard"]
+    sql["optometrist_scorecard_from_days"] = sql["optometrist_scorecard"]
+    sql["unique_customers_fy_from_index"] = sql["unique_customers_fy"]
     sql["claim_batches_written"] = claim_batches_written()
     sql["report_suite_monthly"] = _suite(
         {
@@ -713,4 +717,6 @@ def oracle_sql() -> dict[str, str]:
     sql["report_suite_weekly"] = _suite(
         {n: sql[f"{n}_weekly"] for n in ("unique_customers_fy", "utilisation", "branch_masterdata")}
     )
+    sql["report_suite_monthly_from_days"] = sql["report_suite_monthly"]
+    sql["report_suite_weekly_from_days"] = sql["report_suite_weekly"]
     return sql

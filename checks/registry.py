@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks import adapter, inputs as I
-from lensmill.plans import audience, branch, capacity, claims, enquiry, maintenance, staff, suite
+from lensmill.functions.windows import DateRange, fiscal_year_start
+from lensmill.plans import audience, branch, capacity, claims, cube, enquiry, first_purchase, maintenance, staff, suite
 from lensmill.session import tune
 from lensmill.sources import sinks
 from lensmill.sources.catalog import Clinic, load_parquet
@@ -68,11 +69,46 @@ def _with_stored_lines(x: Inputs, windows: dict) -> Clinic:
     return suite.with_stored_lines(x.clinic, windows["default"], shared_path(x.spark, "sale-lines"))
 
 
+#: Tables that a job keeps up to date, and reports read: written once per session and data.
+_KEPT: dict[tuple, object] = {}
+
+
+def _kept(x: Inputs, name: str, *of: object, write: Callable[[], object]) -> object:
+    key = (x.spark.sparkContext.applicationId, x.sf_dir, name, *of)
+    if key not in _KEPT:
+        _KEPT[key] = write()
+    return _KEPT[key]
+
+
+def _cube(x: Inputs, windows: dict) -> tuple[cube.Cube, first_purchase.Index]:
+    return _kept(x, "cube", repr(windows), write=lambda: _written_cube(x, windows))
+
+
+def _written_cube(x: Inputs, windows: dict) -> tuple[cube.Cube, first_purchase.Index]:
+    """Day partials and the first-purchase index of the windows' days. The fiscal year's older days come in later ones'
+    wake, and the window's first days twice."""
+    stored = cube.Cube(x.spark, x.clinic, shared_path(x.spark, "cube"))
+    orders, events = windows["default"], windows["appointment"]
+    by_events = ("visits", "clock", "exams", "letters")
+    stored.update(orders, [n for n in cube.sources(x.clinic, orders) if n not in by_events])
+    stored.update(events, by_events)
+    stored.update(DateRange(orders.first, orders.first + timedelta(days=1)), ("lines", "invoices"))
+    index = first_purchase.Index(x.spark, x.clinic, shared_path(x.spark, "first-purchase"))
+    index.update(orders)
+    index.update(DateRange(fiscal_year_start(orders.first), orders.first - timedelta(days=1)))
+    index.update(orders)
+    return stored, index
+
+
 def _monthly(x: Inputs) -> Clinic:
     """The library's own layout and joins, over a copy of the test tables."""
-    root = shared_path(x.spark, "monthly")
-    write_monthly(x.clinic, root)
-    return load_parquet(x.spark, root)
+
+    def write() -> str:
+        root = shared_path(x.spark, "monthly")
+        write_monthly(x.clinic, root)
+        return root
+
+    return load_parquet(x.spark, _kept(x, "monthly", write=write))
 
 
 def _report_csv(x: Inputs) -> DataFrame:
@@ -196,6 +232,17 @@ REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "claim_batches_written": _claim_batches_written,
     "branch_masterdata_monthly_layout": lambda x: branch.branch_masterdata(_monthly(x), I.MONTH_WINDOWS, x.branches),
     "dispenser_scorecard_monthly_layout": lambda x: staff.dispenser_scorecard(_monthly(x), I.MONTH_WINDOWS, x.branches),
+    # day partials: the same reports, re-folded
+    "branch_masterdata_from_days": lambda x: _cube(x, I.MONTH_WINDOWS)[0].branch_masterdata(I.WEEK_WINDOWS | {"default": I.LAST_WEEK}, x.branches),
+    "dispenser_scorecard_from_days": lambda x: _cube(x, I.MONTH_WINDOWS)[0].dispenser_scorecard(I.MONTH_WINDOWS, x.branches),
+    "optometrist_scorecard_from_days": lambda x: _cube(x, I.MONTH_WINDOWS)[0].optometrist_scorecard(I.MONTH_WINDOWS),
+    "unique_customers_fy_from_index": lambda x: _cube(x, I.MONTH_WINDOWS)[1].unique_customers(I.MONTH, x.branches),
+    "report_suite_monthly_from_days": lambda x: _suite_rows(
+        cube.monthly_suite(*_cube(x, I.MONTH_WINDOWS), I.ORDERS_AS_OF, x.branches, I.MONTH_WINDOWS)
+    ),
+    "report_suite_weekly_from_days": lambda x: _suite_rows(
+        cube.weekly_suite(*_cube(x, I.WEEK_WINDOWS), I.ORDERS_AS_OF, x.branches, I.WEEK_WINDOWS)
+    ),
     # maintenance and suites
     "eligibility_cleared": lambda x: maintenance.eligibility_cleared(x.clinic, I.EVENTS_AS_OF),
     "eligibility_cleared_count": lambda x: maintenance.eligibility_cleared_count(x.clinic, I.EVENTS_AS_OF),

@@ -1,7 +1,7 @@
 """Many filtered counts, sums and distinct counts over several facts in one aggregation.
 
 Each fact row is projected to (key, entity, mask, measures): bit i of ``mask`` says whether the row
-matches predicate i. Facts with an entity are unioned and folded to one row per (key, entity); those rows
+matches predicate i. A mask is as many words of 63 bits as there are predicates for, and each word is folded alone. Facts with an entity are unioned and folded to one row per (key, entity); those rows
 and the facts without one are then folded to one row per key. Masks are combined with ``bit_or``, so a distinct count is the number of entities with the bit set
 and needs no row expansion. Both folds combine on the map side, so neither a hot key nor a hot entity
 ends up in one task.
@@ -12,12 +12,13 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, functions as F
 
 
-#: Bits of a mask; one test each for a metric, for what is taken off it, and for the roster.
-MAX_TESTS = 63
+#: Bits of a word of a mask. There is a test each for a metric, for what is taken off it, and for the roster.
+WORD_BITS = 63
 #: Distinct tests up to which a fact is filtered before it is folded.
 FILTER_TESTS = 8
 
@@ -62,41 +63,59 @@ def tally(facts: Sequence[Fact], roster: DataFrame | None = None, drop_zero: boo
     least one metric has a row. ``drop_zero`` leaves out keys with no metric other than 0, where a null
     metric counts as a value.
     """
-    keys = list(facts[0].keys)
-    plan = _assign_bits(facts)
-    by_entity = [_project(fact, plan) for fact in facts if fact.entity]
-    parts = [_project(fact, plan) for fact in facts if not fact.entity]
-    wanted = reduce(lambda a, b: a | b, (plan.bit[m.name] for m in plan.metrics))
+    plan = assign_bits([m for f in facts for m in f.metrics])
+    return combined([(project(fact, plan), bool(fact.entity)) for fact in facts], list(facts[0].keys), plan, roster, drop_zero)
+
+
+@dataclass
+class Plan:
+    """Where each test's bit is: (word, bit)."""
+
+    metrics: list[Metric]
+    bit: dict[str, tuple[int, int]]
+    less_bit: dict[str, tuple[int, int]]
+    roster_bit: tuple[int, int]
+
+    @property
+    def words(self) -> list[int]:
+        return list(range(self.roster_bit[0] + 1))
+
+    def tests(self, metrics: Sequence[Metric]) -> list[tuple[str, tuple[int, int]]]:
+        found = [(m.where, self.bit[m.name]) for m in metrics]
+        return found + [(m.less, self.less_bit[m.name]) for m in metrics if m.less]
+
+
+def assign_bits(metrics: Sequence[Metric]) -> Plan:
+    places = ((k // WORD_BITS, 1 << k % WORD_BITS) for k in count())
+    bit = {m.name: next(places) for m in metrics}
+    less_bit = {m.name: next(places) for m in metrics if m.less}
+    return Plan(list(metrics), bit, less_bit, next(places))
+
+
+def combined(
+    facts: Sequence[tuple[DataFrame, bool]], keys: list[str], plan: Plan, roster: DataFrame | None, drop_zero: bool
+) -> DataFrame:
+    """The finished table of projected facts. Each comes with whether it has an entity."""
+    by_entity = [rows for rows, has_entity in facts if has_entity]
+    parts = [rows for rows, has_entity in facts if not has_entity]
+    wanted = list(plan.bit.values())
     if roster is not None:
-        wanted = plan.roster_bit
-        parts.append(roster.selectExpr(*keys, f"{wanted}L as _mask"))
+        wanted = [plan.roster_bit]
+        parts.append(roster.selectExpr(*keys, *_masks([("true", plan.roster_bit)], plan)))
     if by_entity:
-        rows = _fold(_union(by_entity), [*keys, "_entity"])
+        rows = fold(_union(by_entity), [*keys, "_entity"])
         flags = _flags([m for m in plan.metrics if m.kind == "distinct"], plan, "_entity")
         parts.append(rows.selectExpr(*(c for c in rows.columns if c != "_entity"), *flags))
-    rows = _fold(_union(parts), keys).filter(_has(wanted))
+    rows = fold(_union(parts), keys).filter(_has(*wanted))
     if drop_zero:
         rows = rows.filter(f"array_contains(array({', '.join(_nonzero(m, plan) for m in plan.metrics)}), true)")
     return rows.selectExpr(*keys, *(f"cast({_finish(m, plan)} as {m.type}) as `{m.name}`" for m in plan.metrics))
 
 
-@dataclass
-class _Plan:
-    metrics: list[Metric]
-    bit: dict[str, int]
-    less_bit: dict[str, int]
-    roster_bit: int
-
-
-def _assign_bits(facts: Sequence[Fact]) -> _Plan:
-    metrics = [m for f in facts for m in f.metrics]
-    tests = len(metrics) + sum(bool(m.less) for m in metrics) + 1
-    if tests > MAX_TESTS:
-        raise ValueError(f"{tests} tests in one tally, of at most {MAX_TESTS}: split the metrics over two and join them")
-    bits = iter(1 << i for i in range(MAX_TESTS))
-    bit = {m.name: next(bits) for m in metrics}
-    less_bit = {m.name: next(bits) for m in metrics if m.less}
-    return _Plan(metrics, bit, less_bit, next(bits))
+def _masks(tests: Sequence[tuple[str, tuple[int, int]]], plan: Plan) -> list[str]:
+    """One column per word, from (test, place of its bit)."""
+    of = {w: [f"if({test}, {bit}L, 0L)" for test, (word, bit) in tests if word == w] for w in plan.words}
+    return [f"{' | '.join(bits) or '0L'} as _mask{w}" for w, bits in of.items()]
 
 
 def _sale(m: Metric) -> str:
@@ -107,21 +126,24 @@ def _less(m: Metric) -> str:
     return f"_v_{m.name}__less"
 
 
-def _has(bits: int) -> str:
-    return f"(_mask & {bits}L) <> 0"
+def _has(*places: tuple[int, int]) -> str:
+    """Whether one of the bits is set."""
+    words: dict[int, int] = {}
+    for word, bit in places:
+        words[word] = words.get(word, 0) | bit
+    return "(" + " or ".join(f"(_mask{word} & {bits}L) <> 0" for word, bits in words.items()) + ")"
 
 
-def _flags(metrics: Sequence[Metric], plan: _Plan, column: str) -> list[str]:
+def _flags(metrics: Sequence[Metric], plan: Plan, column: str) -> list[str]:
     """1 for each metric whose predicate some row of this entity or unit matched."""
     bits = [(_sale(m), plan.bit[m.name]) for m in metrics]
     bits += [(_less(m), plan.less_bit[m.name]) for m in metrics if m.less]
     return [f"if({column} is not null and {_has(bit)}, 1L, null) as {name}" for name, bit in bits]
 
 
-def _project(fact: Fact, plan: _Plan) -> DataFrame:
-    """Key, entity, mask and row-level measures of one fact; units are folded here already."""
-    tests = [(m.where, plan.bit[m.name]) for m in fact.metrics]
-    tests += [(m.less, plan.less_bit[m.name]) for m in fact.metrics if m.less]
+def project(fact: Fact, plan: Plan) -> DataFrame:
+    """Key, entity, masks and row-level measures of one fact; units are folded here already."""
+    tests = plan.tests(fact.metrics)
     # Rows that no test matches add nothing. Spark takes the parts of this filter that one table answers to its scan. With
     # many tests it would keep nearly all rows and cost more than the folds save.
     wanted = sorted({test for test, _ in tests})
@@ -130,7 +152,7 @@ def _project(fact: Fact, plan: _Plan) -> DataFrame:
     columns = [f"{expression} as {name}" for name, expression in fact.keys.items()]
     if fact.entity:
         columns.append(f"{fact.entity} as _entity")
-    columns.append(" | ".join(f"if({test}, {bit}L, 0L)" for test, bit in tests) + " as _mask")
+    columns += _masks(tests, plan)
     for m in fact.metrics:
         if m.kind == "count":
             columns.append(f"if(({m.where}) and ({m.of}) is not null, 1L, null) as {_sale(m)}")
@@ -143,7 +165,7 @@ def _project(fact: Fact, plan: _Plan) -> DataFrame:
     rows = frame.selectExpr(*columns, f"{fact.once_per} as _unit")
     by = [*fact.keys, *(["_entity"] if fact.entity else []), "_unit"]
     once = {_sale(m) for m in fact.metrics if m.kind == "sum_once"}
-    rows = _fold(rows, by, once)
+    rows = fold(rows, by, once)
     flags = _flags([m for m in fact.metrics if m.kind == "once"], plan, "_unit")
     return rows.selectExpr(*(c for c in rows.columns if c != "_unit"), *flags)
 
@@ -152,15 +174,16 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _fold(rows: DataFrame, by: list[str], once: Collection[str] = ()) -> DataFrame:
+def fold(rows: DataFrame, by: list[str], once: Collection[str] = ()) -> DataFrame:
     """One row per key: masks combined, measures added up (those in ``once`` taken a single time)."""
+    masks = [F.expr(f"bit_or({c}) as {c}") for c in rows.columns if c.startswith("_mask")]
     measures = [c for c in rows.columns if c.startswith("_v_")]
     # The filter lets a row skip the sums it has no value for, which most rows have for most sums.
     adds = (F.expr(f"{'max' if c in once else 'sum'}({c}) filter (where {c} is not null) as {c}") for c in measures)
-    return rows.groupBy(*by).agg(F.expr("bit_or(_mask) as _mask"), *adds)
+    return rows.groupBy(*by).agg(*masks, *adds)
 
 
-def _finish(m: Metric, plan: _Plan) -> str:
+def _finish(m: Metric, plan: Plan) -> str:
     value, here = _sale(m), _has(plan.bit[m.name])
     if m.kind in ("count", "distinct", "once"):
         if not m.less:
@@ -169,7 +192,7 @@ def _finish(m: Metric, plan: _Plan) -> str:
     return f"if({here}, {f'coalesce({value}, 0)' if m.less else value}, 0)"
 
 
-def _nonzero(m: Metric, plan: _Plan) -> str:
+def _nonzero(m: Metric, plan: Plan) -> str:
     """Whether the finished metric differs from 0, on the folded columns.
 
     Deliberately shares no sub-expression with ``_finish``: a filter over the very expressions a

@@ -195,6 +195,11 @@ def dispenser_scorecard(
         ],
         drop_zero=True,
     )
+    return of_dispensers(scores, clinic, branches, excluded)
+
+
+def of_dispensers(scores: DataFrame, clinic: Clinic, branches: DataFrame, excluded: Sequence[str]) -> DataFrame:
+    """The scorecard's rows and columns of a tally per branch and person."""
     return (
         scores.join(roster(branches), "branch", "left_semi")
         .join(active_dispensers(clinic, excluded), "staff", "left_semi")
