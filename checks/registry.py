@@ -17,7 +17,7 @@ from lensmill.sources import sinks
 from lensmill.sources.catalog import Clinic, load_parquet
 from lensmill.sources.layout import write_monthly
 from lensmill.sources.text import folder_name, raw_lines
-from lensmill.streaming.landing import benefit_landing
+from lensmill.streaming.landing import benefit_landing, read_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,7 +149,7 @@ def _landing(x: Inputs) -> DataFrame:
             name=folder_name(),
         ):
             query.awaitTermination()
-    return x.spark.read.parquet(f"{root}/target/summary").drop("batch")
+    return read_landed(x.spark, f"{root}/target", "summary")
 
 
 ONE_DAY = date(1998, 10, 12)

@@ -1,5 +1,8 @@
+import os
 import random
 import re
+import time
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -10,7 +13,7 @@ from lensmill.plans import claims
 from lensmill.plans.enquiry import response_diff
 from lensmill.sources import sinks
 from lensmill.sources.text import number_lines, raw_lines, read_lines, read_responses
-from lensmill.streaming.landing import benefit_landing
+from lensmill.streaming.landing import benefit_landing, read_landed
 from tests.conftest import rows
 
 SUMMARY = "230620200944-A100000-H20017-SummaryReport.txt"
@@ -170,6 +173,50 @@ def test_files_are_picked_up_once(spark, tmp_path, branches, patients):
     assert files.count() == 3 and summary.count() == 10
 
 
+def test_a_pick_up_that_fails_midway_is_repeated_whole(spark, tmp_path, patients, branches):
+    incoming, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / SUMMARY).write_text(SUMMARY_TEXT)
+    (tmp_path / "in" / "230620200944-A100001-H20017-Error.txt").write_text("late")
+    broken = patients.withColumn("GIVEN", F.raise_error(F.lit("killed")).cast("string"))
+    with pytest.raises(Exception, match="killed"):
+        for query in benefit_landing(spark, incoming, target, progress, branches, broken):
+            query.awaitTermination()
+    # The list of files was written, but the batch is not whole.
+    assert (tmp_path / "out" / "files").exists()
+    with pytest.raises(ValueError, match="no batch"):
+        read_landed(spark, target, "files")
+    for _ in range(2):
+        for query in benefit_landing(spark, incoming, target, progress, branches, patients):
+            query.awaitTermination()
+    assert read_landed(spark, target, "files").count() == 2
+    check_summary(read_landed(spark, target, "summary"))
+
+
+def test_a_file_that_is_sent_again_replaces_its_rows(spark, tmp_path, patients, branches):
+    incoming, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    (tmp_path / "in").mkdir()
+    other = SUMMARY.replace("0944", "1100")
+    (tmp_path / "in" / SUMMARY).write_text(SUMMARY_TEXT)
+    (tmp_path / "in" / other).write_text(SUMMARY_TEXT)
+
+    def pick_up():
+        for query in benefit_landing(spark, incoming, target, progress, branches, patients):
+            query.awaitTermination()
+        return Counter(r.file for r in read_landed(spark, target, "summary").collect())
+
+    before = pick_up()
+    for k, text in enumerate((SUMMARY_TEXT + "\nClaim total :\n", SUMMARY_TEXT + "\nClaim total :\nOther total :\n")):
+        (tmp_path / "in" / SUMMARY).write_text(text)
+        os.utime(tmp_path / "in" / SUMMARY, (time.time() + 100 * (k + 1),) * 2)
+        (tmp_path / "in" / SUMMARY.replace("0944", f"120{k}")).write_text(SUMMARY_TEXT)
+        after = pick_up()
+        assert after[SUMMARY] == before[SUMMARY] + k + 1 and after[other] == before[other]
+        assert len(after) == 3 + k
+    assert pick_up() == after
+    assert read_landed(spark, target, "files").count() == 4
+
+
 def test_report_sinks(spark, tmp_path):
     window = DateRange(date(2020, 5, 1), date(2020, 5, 31))
     assert sinks.report_name("dispensers", window, "B0") == "report-dispensers-2020-05-01-to-2020-05-31-B0.csv"
