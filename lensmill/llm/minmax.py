@@ -6,15 +6,14 @@ agrees between two sets with probability of their Jaccard index, so ``PERMUTATIO
 values, at half the hashing. ``ROWS`` values are a band; sets with an equal band are candidates. With 40 bands of 6 a
 pair at an index of 0.85 is no candidate with probability 5.9e-9, and less above.
 
-1. *Stars.* In each band's bucket all nodes are compared with one of them, chosen by a digest; of its leads a node
-   takes the one its signature agrees with most. This connects most copies, one comparison a node, in buckets of any size.
-2. *Blocks.* A bucket whose nodes are in one component has nothing left to find. The others, without those that have the
-   members of another one, are compared by signatures, vectorised, in blocks of ``BLOCK`` by ``BLOCK`` nodes, each of which is
-   a task's work: pairs of different components pass whose signatures agree in more than ``SURE`` standard deviations below
-   the limit. They are confirmed in two steps, first the likeliest of each pair of components, then what is still apart.
+1. *Stars.* Each band's bucket has a lead, one of its nodes chosen by a digest; of its leads a node is compared with the one
+   it shares most bands with. This connects most copies, one comparison a node, in buckets of any size.
+2. *Blocks.* A bucket whose nodes are in one component has nothing left to find. In the others, without those that have the
+   members of another one, all nodes of different components are compared, in blocks of ``BLOCK`` by ``BLOCK`` nodes, each of
+   which is a task's work. The sizes of all intersections in a block are a product of its two incidence matrices.
 
-Every link is confirmed by an exact comparison of the full sets: the texts of nodes with candidates are fetched once, and
-travel as texts, which take less room than their sets' digests.
+Every link is confirmed by an exact comparison of the full sets: texts of nodes with candidates are fetched, and travel as
+texts, which take less room than their sets' digests. Blocks report only links that connect components.
 
 Edge cases: a null or empty text has no shingles, no links, and is a component of its own with its own doc_id (or null);
 equal texts and repeated rows are one component; a component of null doc_ids alone has a null id; sets too small to link
@@ -27,23 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lensmill.llm.common import job, stored, whole_text
 from lensmill.llm.components import components
 from lensmill.llm.fingerprints import mix
 from lensmill.llm.shingles import linked, set_digest, shingle_sets
+from lensmill.llm.signature_tree import Groups
 
 _U = np.uint64
 PERMUTATIONS = 120
 ROWS = 6
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Nodes of a part of a bucket; two parts are compared at a time.
-BLOCK = 1024
-#: Candidates with a signature this many standard deviations below the limit are no links.
-SURE = 6
-#: Pairs of two components that are confirmed first.
-FIRST = 8
+BLOCK = 512
+#: Columns of an incidence matrix that are multiplied at a time.
+COLUMNS = 4096
 TEXTS_AT_ONCE = 256
 
 _FACTORS = mix(np.arange(1, PERMUTATIONS + 1).astype(_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -71,17 +69,11 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return keys
 
 
-def least_agreement(percent: int) -> int:
-    """Values in which signatures of linked sets agree at least, but for a chance of some 1e-9."""
-    t, n = percent / 100, 2 * PERMUTATIONS
-    return int(n * t - SURE * (n * t * (1 - t)) ** 0.5)
-
-
-_SETS = "doc_id long, digest binary, size long, text_key binary, keys array<long>, signature binary"
+_SETS = "doc_id long, digest binary, size long, text_key binary, keys array<long>"
 
 
 def _sets(documents: DataFrame, percent: int, width: int) -> DataFrame:
-    """Per row: doc_id, digest and size of its set, key of its text; band keys and signature (a byte a value) where it can link."""
+    """Per row: doc_id, digest and size of its set, key of its text, and its band keys where it can link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -91,15 +83,15 @@ def _sets(documents: DataFrame, percent: int, width: int) -> DataFrame:
                 sizes = np.diff(sets.offsets)
                 # A set with one shingle more is the likest one.
                 able = np.flatnonzero((sizes > 0) & (100 * sizes >= percent * (sizes + 1)))
-                keys, signatures = [None] * len(batch), [None] * len(batch)
+                keys = [None] * len(batch)
                 if len(able):
                     values = np.concatenate([sets.of(i) for i in able])
                     both = min_max(values, np.cumsum(sizes[able]) - sizes[able])
-                    for i, own, low in zip(able.tolist(), band_keys(both).view(np.int64), both, strict=True):
-                        keys[i], signatures[i] = own, (mix(low) >> _U(56)).astype(np.uint8).tobytes()
+                    for i, own in zip(able.tolist(), band_keys(both).view(np.int64), strict=True):
+                        keys[i] = own
                 digests = [set_digest(sets.of(i)) if sizes[i] else None for i in range(len(batch))]
                 columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), batch.column("text_key")]
-                columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
+                columns.append(pa.array(keys, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=[c.split()[0] for c in _SETS.split(", ")])
 
     return stored(_texts(documents).mapInArrow(run, _SETS), "minmax-sets")
@@ -111,10 +103,9 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def _nodes(sets: DataFrame) -> DataFrame:
-    """(node, digest, least, text_key, size, keys, signature) per distinct set; least: its smallest doc_id; text_key: of one
+    """(node, digest, least, text_key, keys) per distinct set; least: its smallest doc_id; text_key: of one
     of its texts."""
-    names = ["text_key", "size", "keys", "signature"]
-    some = sets.where("size > 0").groupBy("digest").agg(F.min(F.struct(*names)).alias("one"), F.min("doc_id").alias("least"))
+    some = sets.where("size > 0").groupBy("digest").agg(F.min(F.struct("text_key", "keys")).alias("one"), F.min("doc_id").alias("least"))
     return stored(some.select(F.monotonically_increasing_id().alias("node"), "digest", "least", "one.*"), "minmax-nodes")
 
 
@@ -150,28 +141,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) ->
     return stored(with_b.mapInArrow(run, "a long, b long"), "minmax-links", result=True)
 
 
-def _with_signatures(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """The rows of pairs (a, b) whose signatures agree in ``least`` values, and in how many: ``agree``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8) for c in ("of_a", "of_b"))
-            agree = (x == y).reshape(len(batch), -1).sum(1) if len(batch) else np.zeros(0, np.int64)
-            rows = pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(agree.astype(np.int64))], names=["a", "b", "agree"]
-            )
-            yield rows.filter(pa.array(agree >= least))
-
-    of_a = nodes.select(F.col("node").alias("a"), F.col("signature").alias("of_a"))
-    of_b = nodes.select(F.col("node").alias("b"), F.col("signature").alias("of_b"))
-    return pairs.join(of_a, "a").join(of_b, "b").mapInArrow(run, "a long, b long, agree long")
-
-
-def _stars(buckets: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """(a, b): every node with the lead that is most like it."""
-    pairs = buckets.where("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-    likely = _with_signatures(pairs, nodes, least).groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-    return stored(likely, "minmax-stars", result=True)
+def _stars(buckets: DataFrame) -> DataFrame:
+    """(a, b): every node with the lead it shares most bands with."""
+    shared = buckets.where("node != lead").groupBy(F.col("node").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("n"))
+    return stored(shared.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b")), "minmax-stars", result=True)
 
 
 def _mixed(buckets: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -186,8 +159,43 @@ def _mixed(buckets: DataFrame, clusters: DataFrame) -> DataFrame:
     return stored(rows.join(stored(chosen.select("bucket", "n"), "minmax-chosen"), "bucket"), "minmax-mixed")
 
 
-def _candidates(mixed: DataFrame, nodes: DataFrame, least: int, block: int) -> DataFrame:
-    """(a, b, agree): pairs of different clusters in a bucket whose signatures agree in ``least`` values."""
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common values of every set on the left with every set on the right, by products of 0/1 matrices.
+
+    Values that one set alone has add nothing and are left out first; counts are below 2 ** 24, so floats are exact.
+    """
+    out = np.zeros((len(left), len(right)), np.float32)
+    sides = [np.concatenate(s) if s else np.zeros(0, _U) for s in (left, right)]
+    owners = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (left, right)]
+    both = np.intersect1d(*(np.unique(s) for s in sides), assume_unique=True)
+    places = [np.searchsorted(both, s) for s in sides]
+    here = [both[np.minimum(p, len(both) - 1)] == s if len(both) else np.zeros(len(s), bool) for p, s in zip(places, sides, strict=True)]
+    places, owners = ([x[h] for x, h in zip(xs, here, strict=True)] for xs in (places, owners))
+    for at in range(0, len(both), COLUMNS):
+        n = min(COLUMNS, len(both) - at)
+        matrices = []
+        for p, o, rows in zip(places, owners, (len(left), len(right)), strict=True):
+            some = (p >= at) & (p < at + n)
+            matrix = np.zeros((rows, n), np.float32)
+            matrix[o[some], p[some] - at] = 1
+            matrices.append(matrix)
+        out += matrices[0] @ matrices[1].T
+    return out.astype(np.int64)
+
+
+def _joined_groups(clusters: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of clusters, of the linked pairs given, that connect as much as all of them."""
+    groups, found = Groups(), []
+    for a, b in np.unique(np.sort(clusters[pairs], axis=1), axis=0).tolist():
+        x, y = groups.root(a), groups.root(b)
+        if x != y:
+            groups.join(x, y)
+            found.append((a, b))
+    return found
+
+
+def _block_links(documents: DataFrame, nodes: DataFrame, mixed: DataFrame, percent: int, width: int, block: int) -> DataFrame:
+    """(a, b): clusters that linked nodes of a bucket connect."""
     parts = F.ceil(F.col("n") / block)
     dealt = mixed.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), parts))
     beside = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
@@ -195,78 +203,57 @@ def _candidates(mixed: DataFrame, nodes: DataFrame, least: int, block: int) -> D
         "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "cluster"
     )
     by = ["bucket", "i", "j"]
-    names = ["a", "b", "agree"]
 
-    def compare(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        nodes, clusters, part, i, j = (group.column(c).to_numpy() for c in ("node", "cluster", "part", "i", "j"))
-        maps = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(group), -1)
+    def compare(group: pa.Table) -> list[tuple[int, int]]:
+        clusters, part, i, j = (group.column(c).to_numpy() for c in ("cluster", "part", "i", "j"))
+        if (clusters == clusters[0]).all():
+            return []
+        sets = shingle_sets(group.column("text").to_pylist(), width)
+        own, sizes = [sets.of(k) for k in range(len(group))], np.diff(sets.offsets)
         left, right = np.flatnonzero(part == i[0]), np.flatnonzero(part == j[0])
-        for x in left.tolist():
-            others = right[right > x] if i[0] == j[0] else right
-            others = others[clusters[others] != clusters[x]]
-            agree = (maps[others] == maps[x]).sum(1)
-            found = agree >= least
-            a, b = np.full(found.sum(), nodes[x]), nodes[others[found]]
-            columns = [np.maximum(a, b), np.minimum(a, b), agree[found].astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+        common = intersections([own[k] for k in left], [own[k] for k in right])
+        links = 100 * common >= percent * (sizes[left][:, None] + sizes[right][None, :] - common)
+        links &= clusters[left][:, None] != clusters[right][None, :]
+        x, y = np.nonzero(links)
+        return _joined_groups(clusters, np.column_stack((left[x], right[y])))
+
+    def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: pa.Table | None = None
-
-        def joined(group: pa.Table) -> Iterator[pa.RecordBatch]:
-            rows = [r for r in compare(group) if len(r)]
-            if rows:
-                yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
-
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = rows if waiting is None else pa.concat_tables([waiting, rows])
             ids = [rows.column(c).to_numpy() for c in by]
             new = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in ids])) + 1
             for a, b in zip([0, *new[:-1].tolist()], new.tolist(), strict=False):
-                yield from joined(rows.slice(a, b - a))
+                yield out(compare(rows.slice(a, b - a)))
             waiting = rows.slice(int(new[-1]) if len(new) else 0)
         if waiting is not None and len(waiting):
-            yield from joined(waiting)
-
-    rows = tasks.join(nodes.select("node", "signature"), "node").repartition(*by).sortWithinPartitions(*by)
-    found = rows.select(*by, "part", "node", "cluster", "signature").mapInArrow(run, "a long, b long, agree long")
-    return stored(found.distinct(), "minmax-candidates", result=True)
-
+            yield out(compare(waiting))
 
-def _apart(pairs: DataFrame, clusters: DataFrame) -> DataFrame:
-    """pairs with the clusters of both (low, high), where they differ."""
-    for end in ("a", "b"):
-        of = clusters.select(F.col("node").alias(end), F.col("component").alias(f"cluster_{end}"))
-        pairs = pairs.join(of, end, "left").withColumn(f"cluster_{end}", F.coalesce(f"cluster_{end}", end))
-    low, high = F.least("cluster_a", "cluster_b"), F.greatest("cluster_a", "cluster_b")
-    return pairs.where("cluster_a != cluster_b").select("a", "b", "agree", low.alias("low"), high.alias("high"))
+    texts = _fetched(documents, nodes, mixed.select("node").distinct())
+    rows = tasks.join(texts, "node").repartition(*by).sortWithinPartitions(*by)
+    return stored(rows.select(*by, "part", "cluster", "text").mapInArrow(run, "a long, b long"), "minmax-links", result=True)
 
 
 def _clusters(documents: DataFrame, nodes: DataFrame, percent: int, width: int, block: int) -> DataFrame:
     """(node, component) of nodes with links."""
-    spark, least = documents.sparkSession, least_agreement(percent)
+    spark = documents.sparkSession
     with job(spark):
         buckets = _buckets(nodes.where("keys is not null"))
         with job(spark):
-            stars = _stars(buckets, nodes, least)
+            stars = _stars(buckets)
         with job(spark):
             ends = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             links = _confirmed(stars, _fetched(documents, nodes, ends), percent, width)
-        clusters = components(links)
         with job(spark):
-            left = _candidates(_mixed(buckets, clusters), nodes, least, block)
+            first = stored(components(links), "minmax-clusters", result=True)
         with job(spark):
-            ends = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            texts = _fetched(documents, nodes, ends)
-            likeliest = Window.partitionBy("low", "high").orderBy(F.desc("agree"), "a", "b")
-            first = _apart(left, clusters).withColumn("place", F.row_number().over(likeliest)).where(F.col("place") <= FIRST)
-            with job(spark):
-                more = _confirmed(first, texts, percent, width)
-                nearer = stored(components(links.unionAll(more)), "minmax-clusters", result=True)
-            rest = _confirmed(stored(_apart(left, nearer), "minmax-rest"), texts, percent, width)
-            links = stored(links.unionAll(more).unionAll(rest), "minmax-links", result=True)
-        return stored(components(links), "minmax-clusters", result=True)
+            more = _block_links(documents, nodes, _mixed(buckets, first), percent, width, block)
+        # A cluster is named by one of its nodes, so links of clusters and of nodes are one graph.
+        return stored(components(links.unionAll(more)), "minmax-clusters", result=True)
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, width: int = 3, block: int = BLOCK) -> DataFrame:
