@@ -68,6 +68,10 @@ TEMPLATE = (
     "<p>{{B_MANAGER_NAME}} {{B_MANAGER_EMAIL}} {{branch}}</p>"
 )
 
+# One template per type of message, of which the first is the one above.
+TEMPLATES = {"exam": TEMPLATE, "lenses": "{{D_GIVEN}}: {{A_APP_EXTRA}} }} {{B_PHONE}}{{D_NOTHING}} {{b_phone}} {{D_GIVEN}}"}
+TYPE = "case when APPOINTMENT_TYPE in ('CL', 'LT') then 'lenses' when APPOINTMENT_TYPE = 'SC' then 'exam' else 'other' end"
+
 
 def _pad(expression: str, width: int) -> str:
     return f"lpad(cast({expression} as string), {width}, '0')"

@@ -404,7 +404,7 @@ where c.EXPIRY_DATE = timestamp '{I.ORDERS_AS_OF} 00:00:00' and p.ID = c.PATIENT
     return with_sources(body, "patient contact_rx")
 
 
-def render_messages() -> str:
+def render_messages(by_type: bool = False) -> str:
     def title(column: str) -> str:
         low = f"lower(coalesce(cast({column} as varchar), 'None'))"
         return (
@@ -417,12 +417,21 @@ def render_messages() -> str:
     values |= {"D_STARTDATE": start, "D_GENID": "GENID"}
     values |= {f"B_{c}": f"b.{c}" for c in ("NAME", "ADDRESS", "PHONE", "MANAGER_NAME", "MANAGER_EMAIL")}
     values["A_APP_EXTRA"] = "coalesce(x.extra, '')"
-    message = "'" + I.TEMPLATE.replace("'", "''") + "'"
-    for field, value in values.items():
-        message = f"replace({message}, '{{{{{field}}}}}', {value})"
+
+    def filled(template: str) -> str:
+        message = "'" + template.replace("'", "''") + "'"
+        for field, value in values.items():
+            message = f"replace({message}, '{{{{{field}}}}}', {value})"
+        return message
+
+    message, where = filled(I.TEMPLATE), "true"
+    if by_type:
+        kind = I.TYPE.replace("APPOINTMENT_TYPE", "a.APPOINTMENT_TYPE")
+        message = "case " + " ".join(f"when {kind} = '{t}' then {filled(text)}" for t, text in I.TEMPLATES.items()) + " end"
+        where = f"{kind} in ({', '.join(repr(t) for t in I.TEMPLATES)})"
     body = f"""
 select a.ID, a.EMAIL, {message} as message from ({_PRE_EXAM}) a join branches b on b.code = a.BRANCH
-left join appointment_info x on x.appointment_type = a.APPOINTMENT_TYPE"""
+left join appointment_info x on x.appointment_type = a.APPOINTMENT_TYPE where {where}"""
     return with_sources(body, "appointment patient users branches appointment_info")
 
 
@@ -699,6 +708,9 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["report_csv"] = sql["branch_masterdata_monthly_layout"] = sql["branch_masterdata"]
     sql["dispenser_csv_by_branch"] = sql["dispenser_scorecard_monthly_layout"] = sql["dispenser_scorecard"]
+    sql["messages_by_type"] = render_messages(by_type=True)
+    for part, name in (("kept", "kept"), ("cleared", "cleared"), ("count", "cleared_count")):
+        sql[f"eligibility_table_{part}"] = sql[f"eligibility_{name}"]
     sql["branch_masterdata_from_days"] = branch_masterdata(I.LAST_WEEK, events)
     sql["dispenser_scorecard_from_days"] = sql["dispenser_scorecard"]
     sql["optometrist_scorecard_from_days"] = sql["optometrist_scorecard"]

@@ -16,7 +16,7 @@ from lensmill.session import tune
 from lensmill.sources import sinks
 from lensmill.sources.catalog import Clinic, load_parquet
 from lensmill.sources.layout import write_monthly
-from lensmill.sources.text import folder_name, raw_lines
+from lensmill.sources.text import folder_name, raw_lines, read_template_table
 from lensmill.streaming.landing import benefit_landing, read_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +152,33 @@ def _landing(x: Inputs) -> DataFrame:
     return read_landed(x.spark, f"{root}/target", "summary")
 
 
+def _templates(x: Inputs) -> DataFrame:
+    """Templates written as files, one folder each, and read again as a table."""
+    path = shared_path(x.spark, "templates")
+    of = x.spark.createDataFrame(list(I.TEMPLATES.items()), "type string, value string")
+    of.write.partitionBy("type").option("lineSep", "\u0003").text(path)
+    read = read_template_table(x.spark, f"{path}/*", folder_name())
+    return read.select("type", F.rtrim("template", F.lit("\u0003")).alias("template"))
+
+
+def _messages_by_type(x: Inputs) -> DataFrame:
+    people = audience.audience_pre_exam(x.clinic, I.EVENTS_AS_OF, I.EVENTS_AS_OF).withColumn("TYPE", F.expr(I.TYPE))
+    return audience.render_by_type(people, _templates(x), x.branches, x.appointment_info).select("ID", "EMAIL", "message")
+
+
+def _cleared_table(x: Inputs) -> tuple[str, str, dict[str, int]]:
+    """The stored category rows after their stale marks were deleted in place, twice."""
+
+    def clear() -> tuple[str, str, dict[str, int]]:
+        root, work = (shared_path(x.spark, n) for n in ("categories", "eligibility"))
+        maintenance.write_categories(x.clinic["patient_categories_link"], root)
+        counts = maintenance.clear_eligibility(x.spark, x.clinic, I.EVENTS_AS_OF, root, work)
+        maintenance.clear_eligibility(x.spark, x.clinic, I.EVENTS_AS_OF, root, shared_path(x.spark, "eligibility"))
+        return root, work, counts
+
+    return _kept(x, "eligibility", write=clear)
+
+
 ONE_DAY = date(1998, 10, 12)
 
 REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -247,6 +274,10 @@ REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "eligibility_cleared": lambda x: maintenance.eligibility_cleared(x.clinic, I.EVENTS_AS_OF),
     "eligibility_cleared_count": lambda x: maintenance.eligibility_cleared_count(x.clinic, I.EVENTS_AS_OF),
     "eligibility_kept": lambda x: maintenance.eligibility_kept(x.clinic, I.EVENTS_AS_OF),
+    "eligibility_table_kept": lambda x: maintenance.read_categories(x.spark, _cleared_table(x)[0]),
+    "eligibility_table_cleared": lambda x: x.spark.read.parquet(f"{_cleared_table(x)[1]}/cleared").drop("part"),
+    "eligibility_table_count": lambda x: x.spark.createDataFrame([(_cleared_table(x)[2]["cleared"],)], "cleared long"),
+    "messages_by_type": _messages_by_type,
     "report_suite_monthly": lambda x: _suite_rows(
         suite.monthly_suite(_with_stored_lines(x, I.MONTH_WINDOWS), I.ORDERS_AS_OF, x.branches, I.MONTH_WINDOWS)
     ),

@@ -96,6 +96,34 @@ def _spoken(audience: DataFrame, name: str) -> Column:
     return title_case(F.coalesce(text, F.lit("None")))
 
 
+# A placeholder: audience column, branch column, or the text for the appointment type.
+_PLACE = r"\{\{(?:D_\w+|B_\w+|A_APP_EXTRA)\}\}"
+
+
+def _with_sources(audience: DataFrame, branches: DataFrame, appointment_info: DataFrame | None, places: list[str]) -> DataFrame:
+    """The audience with the branch columns (``_b_x``) and the appointment type's text (``_extra``) that are asked for."""
+    known = {c.lower() for c in branches.columns}
+    asked = [p for p in dict.fromkeys(p.lower() for p in places) if p in known]
+    branch = branches.select(F.col("code").alias("_code"), *(F.col(p).alias(f"_b_{p}") for p in asked))
+    rows = audience.join(branch, F.col("BRANCH") == F.col("_code"))
+    if appointment_info is None:
+        return rows
+    info = appointment_info.select(F.col("appointment_type").alias("_type"), F.col("extra").alias("_extra"))
+    return rows.join(info, F.col("APPOINTMENT_TYPE") == F.col("_type"), "left")
+
+
+def _filled(place: str, audience: DataFrame, rows: DataFrame) -> Column:
+    """What a placeholder stands for in a row; itself where it has no source."""
+    kind, name = place[2], place[4:-2]
+    if kind == "D" and name in audience.columns:
+        return _spoken(audience, name)
+    if kind == "B" and f"_b_{name.lower()}" in rows.columns:
+        return F.coalesce(F.col(f"_b_{name.lower()}").cast("string"), F.lit(""))
+    if kind == "A" and "_extra" in rows.columns:
+        return F.coalesce(F.col("_extra"), F.lit(""))
+    return F.lit(place)
+
+
 def render_messages(
     audience: DataFrame,
     template: str,
@@ -106,23 +134,39 @@ def render_messages(
 
     ``{{D_x}}`` takes audience column x, ``{{B_x}}`` column x of the branch; with ``appointment_info``
     (appointment_type, extra) ``{{A_APP_EXTRA}}`` takes the text for the appointment type, or nothing.
-    Placeholders without a source stay. The template is one small text, so only the columns it names
-    are read. Rows of a branch outside ``branches`` are left out.
+    Placeholders without a source stay, and text that is filled in is not searched for placeholders. The template is one
+    small text and is cut once, so a message is one concatenation, and only the columns it names are read. Rows of a
+    branch outside ``branches`` are left out.
     """
-    known = {c.lower(): c for c in branches.columns}
-    fields = list(dict.fromkeys(re.findall(r"\{\{D_(\w+)\}\}", template)))
-    places = [p for p in dict.fromkeys(re.findall(r"\{\{B_(\w+)\}\}", template)) if p.lower() in known]
-    branch = branches.select(
-        F.col("code").alias("_code"), *(F.col(known[p.lower()]).alias(f"_B_{p}") for p in places)
+    segments = [s for s in re.split(f"({_PLACE})", template) if s]
+    rows = _with_sources(audience, branches, appointment_info, [s[4:-2] for s in segments if s.startswith("{{B_")])
+    parts = [_filled(s, audience, rows) if re.fullmatch(_PLACE, s) else F.lit(s) for s in segments]
+    return rows.select(*audience.columns, F.concat(F.lit(""), *parts).alias("message"))
+
+
+def render_by_type(
+    audience: DataFrame,
+    templates: DataFrame,
+    branches: DataFrame,
+    appointment_info: DataFrame | None = None,
+    type: str = "TYPE",
+) -> DataFrame:
+    """``render_messages`` for an audience of several types, each with a template of its own.
+
+    templates: (type, template), as ``sources.text.read_template_table`` gives them; they are joined by the audience's
+    column ``type`` and never come to the driver, and are cut into literals and placeholders once each. Rows of a type
+    without a template are left out.
+    """
+    cut = templates.select(
+        F.col("type").alias("_of_type"), F.split("template", f"(?={_PLACE})|(?<=\\}}\\}})").alias("_segments")
     )
-    rows = audience.join(branch, F.col("BRANCH") == F.col("_code"))
-    message = F.lit(template)
-    for name in (f for f in fields if f in audience.columns):
-        message = F.replace(message, F.lit(f"{{{{D_{name}}}}}"), _spoken(audience, name))
-    for place in places:
-        message = F.replace(message, F.lit(f"{{{{B_{place}}}}}"), F.coalesce(F.col(f"_B_{place}"), F.lit("")))
-    if appointment_info is not None:
-        info = appointment_info.select(F.col("appointment_type").alias("_type"), F.col("extra").alias("_extra"))
-        rows = rows.join(info, F.col("APPOINTMENT_TYPE") == F.col("_type"), "left")
-        message = F.replace(message, F.lit("{{A_APP_EXTRA}}"), F.coalesce(F.col("_extra"), F.lit("")))
-    return rows.select(*audience.columns, message.alias("message"))
+    rows = _with_sources(audience, branches, appointment_info, branches.columns)
+    rows = rows.join(cut, F.col(type) == F.col("_of_type"))
+    places = [f"{{{{D_{c}}}}}" for c in audience.columns] + ["{{A_APP_EXTRA}}"]
+    # A template may write a branch column in capitals.
+    for c in branches.columns:
+        places += [f"{{{{B_{n}}}}}" for n in dict.fromkeys((c, c.upper(), c.lower()))]
+    values = F.create_map(*(x for p in places for x in (F.lit(p), _filled(p, audience, rows))))
+    filled = F.transform("_segments", lambda s: F.coalesce(F.try_element_at(F.col("_values"), s), s))
+    return rows.withColumn("_values", values).select(*audience.columns, F.array_join(filled, "").alias("message"))
+

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -126,6 +127,35 @@ def jdbc_options(
     return options
 
 
+def quantile_bounds(histogram: Sequence[tuple[object, int]], parts: int) -> list[object]:
+    """Bounds that cut a column's values into at most ``parts`` ranges of about equal rows.
+
+    histogram: (value, rows) of buckets, each named by its least value, in any order, as one grouped query on the
+    database gives it. A bucket is not cut, so there are fewer ranges where one holds more than its share.
+    """
+    buckets = sorted(histogram)
+    share = sum(n for _, n in buckets) / max(parts, 1)
+    bounds, rows = [], 0
+    for value, n in buckets:
+        if rows >= share * (len(bounds) + 1):
+            bounds.append(value)
+        rows += n
+    return bounds
+
+
+def range_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """One condition per range between the bounds: the ranges hold every row once, those without a value too."""
+
+    def literal(value: object) -> str:
+        return str(value) if isinstance(value, int | float | Decimal) else "'" + str(value).replace("'", "''") + "'"
+
+    if not bounds:
+        return ["1 = 1"]
+    ends = [literal(b) for b in bounds]
+    inner = [f"{column} >= {a} and {column} < {b}" for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return [f"{column} < {ends[0]} or {column} is null", *inner, f"{column} >= {ends[-1]}"]
+
+
 def split_by(name: str, key_ranges: Mapping[str, tuple]) -> tuple[str | None, object, object]:
     """(column, low, high) for one table; no column where it is read in one query."""
     if name not in key_ranges:
@@ -145,17 +175,25 @@ def load_jdbc(
     parts: int = 64,
     schema: str = "dbo",
     properties: Mapping[str, str] | None = None,
+    histograms: Mapping[str, tuple[str, Sequence[tuple[object, int]]]] | None = None,
 ) -> Clinic:
     """Tables of a live database. Filters and column lists are pushed into the generated SQL.
 
     ``key_ranges`` gives (min, max) of the split column per large table (see SPLIT_COLUMNS), or (column, min, max) to
-    split by another column; rows outside the bounds are read too. Other tables are read in one query.
+    split by another column; rows outside the bounds are read too. ``histograms`` gives (column, [(value, rows)]) of tables
+    whose split column is uneven: their ranges hold about equal rows. Other tables are read in one query.
     """
 
     def table(name: str) -> DataFrame:
         options = jdbc_options(url, f"{schema}.{name.upper()}", *split_by(name, key_ranges), parts)
         options |= dict(properties or {})
-        frame = spark.read.format("jdbc").options(**options).load()
+        if name in (histograms or {}):
+            column, histogram = histograms[name]
+            split_by(name, {name: (column, None, None)})  # refuses a column the table lacks
+            plain = {k: v for k, v in options.items() if k not in ("partitionColumn", "lowerBound", "upperBound", "numPartitions", "url", "dbtable")}
+            frame = spark.read.jdbc(url, options["dbtable"], predicates=range_predicates(column, quantile_bounds(histogram, parts)), properties=plain)
+        else:
+            frame = spark.read.format("jdbc").options(**options).load()
         wanted = StructType.fromDDL(SCHEMAS[name]).fields
         return frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))
 

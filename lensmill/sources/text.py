@@ -66,3 +66,10 @@ def read_templates(spark: SparkSession, path: str, types: Sequence[str]) -> dict
     whole = spark.read.text([f"{path}/{type}.html" for type in types], wholetext=True)
     rows = whole.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.html$", "").alias("type"), "value")
     return {row["type"]: row["value"] for row in rows.collect()}
+
+
+def read_template_table(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:
+    """(type, template) of all ``<type>.html`` files in a folder. ``name`` gives the type where it is not the file's name."""
+    whole = spark.read.option("pathGlobFilter", "*.html" if name is None else "*").text(path, wholetext=True)
+    own = F.regexp_replace(F.col("_metadata.file_name"), r"\.html$", "") if name is None else name
+    return whole.select(own.alias("type"), F.col("value").alias("template"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lensmill.operators.exclusion import not_in
 from lensmill.plans import audience
-from lensmill.sources.text import read_templates
+from lensmill.sources.text import read_template_table, read_templates
 from tests.conftest import day, rows, ts
 from tests.test_branch import inv
 
@@ -135,3 +135,33 @@ def test_placeholder_text_in_data_is_not_a_column(spark, branches, make_clinic):
     )
     got = audience.render_messages(audience.audience_script_expiry(clinic, TODAY), "{{D_SURNAME}}", branches)
     assert got.select(F.col("message")).first()[0] == "{{B_Name}}"
+
+
+@pytest.fixture
+def expiring(make_clinic):
+    return make_clinic(
+        patient=[person(1, SURNAME="LEE"), person(2, SURNAME=None)],
+        contact_rx=[dict(ID=k, PATIENTID=k, EXPIRY_DATE=ts("2024-01-08 00:00:00")) for k in (1, 2)],
+    )
+
+
+def test_messages_are_one_concatenation(spark, branches, expiring):
+    clinic = expiring
+    people = audience.audience_script_expiry(clinic, TODAY)
+    template = "a {{D_SURNAME}}{{D_GIVEN}} {{B_NAME}}{{D_NOPE}}{{X_NAME}} {{{{D_SURNAME}}"
+    plan = audience.render_messages(people, template, branches)._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(" in plan and "replace(replace(" not in plan
+
+
+def test_templates_of_types_are_joined(spark, tmp_path, branches, expiring):
+    clinic = expiring
+    people = audience.audience_script_expiry(clinic, TODAY).withColumn("KIND", F.lit("script"))
+    other = people.withColumn("KIND", F.lit("none"))
+    template = "<p>{{D_SURNAME}}{{D_GIVEN}} {{B_NAME}}{{D_NOPE}} }} {{B_name}} {{{{D_SURNAME}}\n</p>"
+    (tmp_path / "script.html").write_text(template)
+    (tmp_path / "other.html").write_text("x")
+    (tmp_path / "notes.txt").write_text("not a template")
+    table = read_template_table(spark, str(tmp_path))
+    assert rows(table) == [("other", "x"), ("script", template)]
+    got = rows(audience.render_by_type(people.unionByName(other), table, branches, type="KIND"), "message")
+    assert got == rows(audience.render_messages(people, template, branches), "message") and got

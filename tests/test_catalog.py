@@ -1,12 +1,22 @@
 from datetime import date
 
+import duckdb
 import pytest
 
 from lensmill.functions.windows import DateRange
 from lensmill.plans import branch, staff, suite
 from lensmill.plans.labels import write_suite
 from checks import adapter
-from lensmill.sources.catalog import SCHEMAS, SPLIT_COLUMNS, check_schema, jdbc_options, load_parquet, split_by
+from lensmill.sources.catalog import (
+    SCHEMAS,
+    SPLIT_COLUMNS,
+    check_schema,
+    jdbc_options,
+    load_parquet,
+    quantile_bounds,
+    range_predicates,
+    split_by,
+)
 from lensmill.sources.layout import write_monthly
 from tests.conftest import rows
 
@@ -96,3 +106,26 @@ def test_suites(spark, branches, tmp_path):
     scores = {"dispenser_scorecard": staff.dispenser_scorecard(clinic, QUARTER, branches)}
     path = write_suite(scores, str(tmp_path), QUARTER)["dispenser_scorecard"]
     assert spark.read.csv(f"{path}/branch=B0", header=True).columns[:3] == ["Dispenser Code", "#cust", "#sale"]
+
+
+def test_ranges_of_a_skewed_key_hold_even_shares():
+    """Nine tenths of the rows lie in a hundredth of the keys."""
+    histogram = [(k, 900 if k < 10 else 1) for k in range(0, 1000)]
+    bounds = quantile_bounds(histogram, 8)
+    predicates = range_predicates("ID", bounds)
+    con = duckdb.connect()
+    con.execute("create table t as select unnest(range(0, 1000)) as ID union all select null")
+    con.execute("create table n as select ID, case when ID < 10 then 900 when ID is null then 5 else 1 end as n from t")
+    shares = [con.execute(f"select coalesce(sum(n), 0) from n where {p}").fetchone()[0] for p in predicates]
+    total = 9000 + 990 + 5
+    assert sum(shares) == total and len(shares) <= 8 and max(shares) <= total / 8 + 900
+    # Every row is in exactly one range.
+    one = " + ".join(f"(case when {p} then 1 else 0 end)" for p in predicates)
+    assert con.execute(f"select count(*) from t where {one} <> 1").fetchone()[0] == 0
+
+
+def test_ranges_of_odd_histograms():
+    assert range_predicates("ID", quantile_bounds([], 8)) == ["1 = 1"]
+    assert range_predicates("ID", quantile_bounds([(5, 100)], 8)) == ["1 = 1"]
+    days = quantile_bounds([("2020-01-02", 1), ("2020-01-01", 1)], 2)
+    assert range_predicates("TIMESTMP", days) == ["TIMESTMP < '2020-01-02' or TIMESTMP is null", "TIMESTMP >= '2020-01-02'"]

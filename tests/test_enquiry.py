@@ -97,6 +97,28 @@ def test_eligibility(make_clinic):
     assert rows(maintenance.eligibility_kept(clinic, today)) == sorted((x for x in links if x not in cleared), key=repr)
 
 
+def test_marks_are_deleted_in_place(spark, make_clinic, tmp_path):
+    links = [(p, code) for p in range(60) for code in ("ME", "VIP", None)] + [(None, "ME"), (None, None), (7, "MNE"), (7, "MNE")]
+    ahead = [dict(ID=p, PATIENTID=p, STARTDATE=ts("2024-01-11 00:00:01")) for p in (3, 7)]
+    clinic = make_clinic(patient_categories_link=[dict(PATIENT_ID=p, IDENTIFIER=c) for p, c in links], appointment=ahead)
+    root, today = str(tmp_path / "links"), date(2024, 1, 8)
+    maintenance.write_categories(clinic["patient_categories_link"], root, parts=16)
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "links").rglob("part-*")}
+    before = files()
+    counts = maintenance.clear_eligibility(spark, clinic, today, root, str(tmp_path / "work"), parts=16)
+    assert counts == {"cleared": 4, "rows": len(links)}
+    cleared = spark.read.parquet(str(tmp_path / "work" / "cleared")).drop("part")
+    assert rows(cleared) == rows(maintenance.eligibility_cleared(clinic, today)) == [(3, "ME"), (7, "ME"), (7, "MNE"), (7, "MNE")]
+    # A row without a patient and a code says nothing and goes.
+    want = sorted((x for x in links if x not in {(3, "ME"), (7, "ME"), (7, "MNE"), (None, None)}), key=repr)
+    assert rows(maintenance.read_categories(spark, root)) == want
+    kept = {f for f, at in files().items() if before.get(f) == at}
+    assert len({f.split("part=")[1].split("/")[0] for f in before.keys() - kept}) <= 2 and kept
+    now = files()
+    again = maintenance.clear_eligibility(spark, clinic, today, root, str(tmp_path / "again"), parts=16)
+    assert again["cleared"] == 0 and files() == now
+
+
 def test_response_diff_aligned(spark):
     frame = responses(
         spark,
