@@ -47,7 +47,12 @@ class Inputs:
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that driver and executors share. It is left to the owner of that folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or "cluster" in master:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
