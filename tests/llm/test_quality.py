@@ -1,6 +1,7 @@
 """The quality classifier on held-out labels, and quality rules against brute force."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -42,6 +43,45 @@ def test_score_depends_on_the_text_alone(spark, labels):
     assert a == pytest.approx({r.doc_id: r.score for r in quality_classifier.score(other, labels).collect()}, abs=1e-5)
 
 
+def test_scores_equal_brute_force_neighbours(spark, labels):
+    """Cosines with every labelled vector, one by one; own text and its copies left out."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    space = quality_classifier.fit(documents, labels)
+    got = {r.doc_id: r.score for r in quality_classifier.score(documents, labels).collect()}
+    for row in documents.limit(120).collect():
+        own = space.project(quality_classifier.term_counts(row.text or "")[None])[0]
+        digest = quality_classifier.text_digest(row.text or "")
+        voters = [(float(own @ v), y) for v, y, d in zip(space.vectors, space.labels, space.digests, strict=True) if d != digest]
+        near = sorted(voters, key=lambda c: -c[0])[:15]
+        weights = [max(c, 0) ** 32 for c, _ in near]
+        want = sum(w * y for w, (_, y) in zip(weights, near, strict=True)) / sum(weights) if sum(weights) > 1e-9 else space.labels.mean()
+        assert got[row.doc_id] == pytest.approx(want, abs=2e-3)
+
+
+def test_own_label_is_no_input(spark, labels):
+    """Turning one document's label changes other scores, but not its own."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
+    some = labels.join(documents.select("doc_id"), "doc_id")
+    first = some.orderBy("doc_id").first()
+    turned = some.withColumn("quality", F.when(F.col("doc_id") == first.doc_id, 1 - F.col("quality")).otherwise(F.col("quality")).cast("int"))
+    alone = documents.where(F.col("doc_id") == first.doc_id)
+    a, b = (quality_classifier.fit(documents, x) for x in (some, turned))
+    text = alone.first().text or ""
+    counts, digest = quality_classifier.term_counts(text)[None], quality_classifier.np.array([quality_classifier.text_digest(text)])
+    assert a.score(counts, digest, 15, 32.0) == pytest.approx(b.score(counts, digest, 15, 32.0), abs=1e-6)
+
+
+def test_topics_in_another_script_are_told_apart(spark, make):
+    """Texts that differ in Cyrillic letters alone."""
+    words = ["молоко сыр масло хлеб творог сметана", "поезд вокзал рельсы вагон билет станция"]
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choices(words[k % 2].split(), k=30)), "ru", "a") for k in range(80)]
+    frame = make(rows)
+    known = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    found = {r.doc_id: r.score for r in quality_classifier.score(frame, known).collect()}
+    assert all(abs(found[k] - k % 2) < 0.2 for k in range(60, 80))
+
+
 def test_classifier_edges(spark, edges, empty, labels):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     scored = quality_classifier.score(edges, labels).collect()  # some labels meet these doc_ids
