@@ -31,6 +31,8 @@ SUITE_KEYS = {
     "dispenser_scorecard": ["branch", "dispenser"],
     "optometrist_scorecard": ["optometrist"],
 }
+# Reports of the suite whose first column names a row.
+SUITE_FILES = ("utilisation", "branch_masterdata", "optometrist_scorecard")
 EVENT_FACTS = ("appointment", "examination", "clockinout", "patient_letters")
 
 

@@ -628,6 +628,38 @@ def _suite(reports: dict[str, str]) -> str:
     return " union all ".join(f"({values(n, q)})" for n, q in reports.items())
 
 
+# The printed headings of some reports (fixed values), in the order of their columns.
+HEADINGS = {
+    "weekly_utilisation": ["Utilisation Cx"],
+    "masterdata": [
+        "appt_px_all", "Gls Appt No", "Cl Appt No", "cx_all", "Gl Cx No", "Cl Cx No", "CL Cx Per RX", "Total Appt No", "OCT No",
+        "CL New Fit", "Cl Refit", "Unique Cx Per Month",
+    ],
+    "optometrists": [
+        "#cl_cx", "$cl", "#cl_appt", "#lt_appt", "#lens", "$lens", "#upx", "#ex", "$cons", "#w_days", "#910/11", "#912/13/14", "#916/18",
+        "#940/41", "#tmpl", "#amd", "#cat", "#lasik",
+    ],
+}
+
+
+def suite_files(reports: dict[str, str]) -> str:
+    """Values by place: the n-th column after the key has the n-th heading."""
+
+    def values(title: str, query: str) -> str:
+        names = [f"c{k}" for k in range(len(HEADINGS[title]))]
+        picks = " union all ".join(
+            f"select '{title}' as title, row, '{h}' as heading, cast({c} as decimal(38,4)) as value from q"
+            for c, h in zip(names, HEADINGS[title], strict=True)
+        )
+        return f"with q(row, {', '.join(names)}) as ({query}) {picks}"
+
+    return " union all ".join(f"({values(t, q)})" for t, q in reports.items())
+
+
+def claim_batches_joined() -> str:
+    return f"select file, record, count(*) as n from ({claims_reordered()}) group by all"
+
+
 def claim_batches_written() -> str:
     order = "first_line, first_pos, number_2 desc, line_no, pos"
     return (
@@ -715,6 +747,10 @@ def oracle_sql() -> dict[str, str]:
     sql["dispenser_scorecard_from_days"] = sql["dispenser_scorecard"]
     sql["optometrist_scorecard_from_days"] = sql["optometrist_scorecard"]
     sql["unique_customers_fy_from_index"] = sql["unique_customers_fy"]
+    sql["claim_batches_joined"] = claim_batches_joined()
+    sql["suite_files"] = suite_files(
+        {"weekly_utilisation": sql["utilisation"], "masterdata": sql["branch_masterdata"], "optometrists": sql["optometrist_scorecard"]}
+    )
     sql["claim_batches_written"] = claim_batches_written()
     sql["report_suite_monthly"] = _suite(
         {

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks import adapter, inputs as I
 from lensmill.functions.windows import DateRange, fiscal_year_start
-from lensmill.plans import audience, branch, capacity, claims, cube, enquiry, first_purchase, maintenance, staff, suite
+from lensmill.plans import audience, branch, capacity, claims, cube, enquiry, first_purchase, labels, maintenance, staff, suite
 from lensmill.session import tune
 from lensmill.sources import sinks
 from lensmill.sources.catalog import Clinic, load_parquet
@@ -122,6 +122,29 @@ def _report_csv(x: Inputs) -> DataFrame:
     return x.spark.read.schema(report.schema).csv(path, header=True)
 
 
+def _suite_files(x: Inputs) -> DataFrame:
+    """The monthly suite as the files users open, read again by their printed headings: (title, row, heading, value)."""
+    reports = suite.monthly_suite(x.clinic, I.ORDERS_AS_OF, x.branches, I.MONTH_WINDOWS)
+    paths = labels.write_suite({n: reports[n] for n in I.SUITE_FILES}, shared_path(x.spark, "suite"), I.MONTH)
+
+    def values(name: str) -> DataFrame:
+        table = x.spark.read.csv(paths[name], header=True)
+        key, *headings = table.columns
+        long = F.array(*(F.struct(F.lit(h).alias("heading"), F.col(f"`{h}`").cast("decimal(38,4)").alias("value")) for h in headings))
+        return table.select(F.lit(labels.TITLES[name]).alias("title"), F.col(f"`{key}`").alias("row"), F.inline(long))
+
+    return reduce(DataFrame.unionAll, map(values, I.SUITE_FILES))
+
+
+def _claim_batches_joined(x: Inputs) -> DataFrame:
+    """Batches written end to end and read again: (file, record, n)."""
+    path = shared_path(x.spark, "batches")
+    sinks.write_claim_batches(claims.claims_reordered(x.derive(I.CLAIM_LINES)), path, joined=True)
+    whole = raw_lines(x.spark.read.text(f"{path}/*", wholetext=True), folder_name())
+    each = whole.select("file", F.explode(F.regexp_extract_all("line", F.lit(claims.CLAIM_RECORD), F.lit(0))).alias("record"))
+    return each.groupBy("file", "record").agg(F.count("*").alias("n"))
+
+
 def _dispenser_csv_by_branch(x: Inputs) -> DataFrame:
     report = staff.dispenser_scorecard(x.clinic, I.MONTH_WINDOWS, x.branches)
     path = sinks.write_report_by_branch(report, shared_path(x.spark, "csv"), "dispensers", I.MONTH)
@@ -262,6 +285,8 @@ REPORTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "report_csv": _report_csv,
     "dispenser_csv_by_branch": _dispenser_csv_by_branch,
     "claim_batches_written": _claim_batches_written,
+    "claim_batches_joined": _claim_batches_joined,
+    "suite_files": _suite_files,
     "branch_masterdata_monthly_layout": lambda x: branch.branch_masterdata(_monthly(x), I.MONTH_WINDOWS, x.branches),
     "dispenser_scorecard_monthly_layout": lambda x: staff.dispenser_scorecard(_monthly(x), I.MONTH_WINDOWS, x.branches),
     # day partials: the same reports, re-folded

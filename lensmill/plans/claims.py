@@ -119,10 +119,10 @@ def files_for_branch(names: DataFrame, branches: DataFrame) -> DataFrame:
     """(code, file) where the file name contains the branch's provider code anywhere, whatever its shape.
 
     Every part of a name that is as long as some code is matched by equality, so no name is compared with every
-    branch. The lengths of the codes are read first; there are no more than a file name has characters.
+    branch. The distinct lengths of the codes are read first. An empty code, which any name contains, names no file.
     """
     length = F.length("provider_code").alias("n")
-    lengths = sorted(r.n for r in branches.select(length).where("n between 1 and 255").distinct().collect())
+    lengths = sorted(r.n for r in branches.select(length).where("n >= 1").distinct().collect())
     if not lengths:
         return names.select(F.lit("").alias("code"), "file").limit(0)
 
