@@ -20,6 +20,7 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -36,6 +37,7 @@ from lensmill.llm.common import job, stored, whole_text
 SENT = 1 << 20
 #: An id pair (a, b) is the number a * WIDE + b.
 WIDE = 1 << 32
+TEXTS_AT_ONCE = 256
 
 
 class Tokenizer(NamedTuple):
@@ -69,29 +71,37 @@ def _byte_characters() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def byte_level(path: str, ranks_path: str | None = None) -> Tokenizer:
-    """A byte-level .json vocabulary; special strings are plain text. ranks_path: the same vocabulary as ranks, with
-    which texts are encoded faster and to the same ids."""
+def _library(path: str) -> Callable[[str], list[int]]:
+    """The ``tokenizers`` library's way of encoding, special strings as plain text."""
     from tokenizers import Tokenizer as Library
 
     library = Library.from_file(path)
     library.no_truncation()
     library.no_padding()
     library.encode_special_tokens = True
+    return lambda text: library.encode(text, add_special_tokens=False).ids
+
+
+@lru_cache(maxsize=2)
+def byte_level(path: str, ranks_path: str | None = None) -> Tokenizer:
+    """A byte-level .json vocabulary; special strings are plain text. ranks_path: the same vocabulary as ranks, with
+    which texts are encoded faster and to the same ids; then the library is only loaded for a text that needs it."""
+    with open(path) as file:
+        stated = json.load(file)
+    vocabulary = stated["model"]["vocab"] | {t["content"]: t["id"] for t in stated["added_tokens"]}
     stands_for = _byte_characters()
-    entries = [b""] * library.get_vocab_size()
-    for token, i in library.get_vocab().items():
+    entries = [b""] * (max(vocabulary.values()) + 1)
+    for token, i in vocabulary.items():
         entries[i] = bytes(stands_for[c] for c in token) if all(c in stands_for for c in token) else token.encode()
-    slow = lambda text: library.encode(text, add_special_tokens=False).ids
     fast = bpe.ranked(path, ranks_path) if ranks_path else None
     if fast is None:
-        return _with_table(slow, entries)
+        return _with_table(_library(path), entries)
 
     def encode(text: str) -> list[int]:
         try:
             return fast.encode_ordinary(text)
         except ValueError:
-            return slow(text)
+            return _library(path)(text)
 
     return _with_table(encode, entries)
 
@@ -152,14 +162,20 @@ def align(text: str | None, a: Tokenizer, b: Tokenizer) -> Alignment | None:
     return Alignment(ids_a, ids_b, group_a, group_b, int(groups.max()) + 1, np.repeat(ids_a, n) * WIDE + ids_b[beside])
 
 
+@lru_cache(maxsize=1)
+def _signed(n: int) -> list[np.ndarray]:
+    """The numbers below n as texts that end in a comma, a bar and a semicolon."""
+    return [np.array([f"{i}{sign}" for i in range(n)], object) for sign in ",|;"]
+
+
 def written(found: Alignment) -> str:
     """``a1,a2|b1;a3|b2,b3``: the ids of each group's A and B tokens."""
+    comma, bar, semicolon = _signed(max(1 << 16, 1 << int(max(found.a.max(), found.b.max())).bit_length()))
     # A's tokens of a group come before B's: merged by (group, side), in order.
     order = np.argsort(np.concatenate((2 * found.group_a, 2 * found.group_b + 1)), kind="stable")
     last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (found.group_a, found.group_b))
-    ids = np.concatenate((found.a, found.b))[order].tolist()
-    signs = np.concatenate((np.where(last_a, "|", ","), np.where(last_b, ";", ",")))[order].tolist()
-    return "".join([f"{i}{s}" for i, s in zip(ids, signs, strict=True)])[:-1]
+    texts = np.concatenate((np.where(last_a, bar[found.a], comma[found.a]), np.where(last_b, semicolon[found.b], comma[found.b])))
+    return "".join(texts[order].tolist())[:-1]
 
 
 _ALIGNED = (
@@ -172,7 +188,7 @@ def _aligned(documents: DataFrame, a_path: str, b_path: str, a_ranks: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = byte_level(a_path, a_ranks), pieces(b_path)
         none = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS_AT_ONCE) for whole in batches for at in range(0, len(whole), TEXTS_AT_ONCE)):
             rows = []
             for text in batch.column("text"):
                 found = align(text.as_py(), a, b)
