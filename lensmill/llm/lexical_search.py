@@ -280,6 +280,10 @@ def _visit(index: DataFrame, asked, weight, best: int, limits: np.ndarray, only:
         yield _rows(found)
 
     wanted = index if only is None else index.where(F.col("piece").isin(list(only)))
+    # Few files hold many pieces: a piece is little to read and much to score.
+    spark = index.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = wanted.repartition(tasks, "piece")
     return wanted.mapInArrow(run, "item long, doc_id long, score long")
 
 
