@@ -13,93 +13,93 @@ from lensmill.functions.exprs import pad_right
 from lensmill.operators.lines import changes
 
 # Record layouts (fixed values): text before the field, name, pattern, width.
-_TEXT = {
-    "dep": r"""
-        DEP~~ policy_no    [0-9]{8}        8
-        ~     member_no    [0-9]{8}        8
-        ~     order        [A-Z]{1}        1
-        ~     first        [A-Z\s]{24}     24
-        ~     last         [A-Z\s]{20}     20
-        ~     gender       [A-Z]{1}        1
-        ~     dob          [0-9]{8}        8
-        ~     status       [1-9A-Z]{1}     1
-        ~     start_dt     [0-9]{8}        8
-        ~     term_dt      [0-9\s]{8}      8
-        ~     a_limit      [$\.0-9\s]{8}   8
-        ~     o_limit      [$\.0-9\s]{8}   8
-        ~     n_flag       [A-Z]{1}        1
-        ~     l_boost      [$\.0-9\s]{8}   8
-    """,
-    "gaps": r"""
-        GAPS~~ member_no   [0-9]{8}        8
-        ~      unknown     [0-9]{8}        8
-        ~      space       [A-Z0-9\s]{1}   1
-        ~      type        [A-Z0-9]{1}     1
-        ~      date_fr     [0-9]{8}        8
-        ~      date_to     [0-9]{8}        8
-        ~      reason      [A-Z0-9]{13}    13
-    """,
-    "histc": r"""
-        HISTC~~ policy_no    [0-9]{8}         8
-        ~       member_no    [0-9]{8}         8
-        ~       data         [A-D]DATA        5
-        ~~      line_no      [0-9]{5}         5
-        ~       claim_no     [0-9]{5}         5
-        ~       processed_dt [0-9]{8}         8
-        ~       location     [A-Z][0-9]{5}    6
-        ~       provider     [A-Z0-9\s]{8}    8
-        ~       a            [A-Z\s]{5}       5
-        ~       item_code    [A-Z][0-9\s]{4}  5
-        ~       service_dt   [0-9]{8}         8
-        ~       cost         [\s$0-9\.]{8}    8
-        ~       benefit      [\s$0-9\.]{8}    8
-    """,
-    "details": r"""
-        DETAILS~~ client           [0-9]{8}          8
-        ~         customer         [0-9]{8}          8
-        ~         suffix           [A-Z]{1}          1
-        NAME~~    title_code       [\s0-9]{2}        2
-        ~         first            [A-Z\s]{24}       24
-        ~         last             [A-Z\s]{20}       20
-        ~         gender           [A-Z\s]{1}        1
-        ~         dob              [0-9]{8}          8
-        PHONE~~   home_ph          [0-9\s]{15}       15
-        ~         work_ph          [0-9\s]{15}       15
-        HOME~~    h_addr1          [0-9A-Z\s\-]{26}  26
-        ~         h_addr2          [0-9A-Z\s\-]{26}  26
-        ~         h_suburb         [0-9A-Z\s\-]{26}  26
-        ~         h_pcode          [0-9\s]{6}        6
-        ~         h_mail_ret_date  [0-9A-Z\s]{8}     8
-        POST~~    p_addr1          [0-9A-Z\s\-]{26}  26
-        ~         p_addr2          [0-9A-Z\s\-]{26}  26
-        ~         p_suburb         [0-9A-Z\s\-]{26}  26
-        ~         p_pcode          [0-9\s]{6}        6
-        ~         p_mail_ret_date  [0-9A-Z\s]{8}     8
-        POLICY~~  status           [A-Z\s]{1}        1
-        ~         status_date      [0-9]{8}          8
-        ~         eff_date         [0-9]{8}          8
-        ~         scale            [A-Z\s]{1}        1
-        ~         pay_method       [A-Z\s]{1}        1
-        ~         pay_freq         [A-Z\s]{1}        1
-        ~         enrolment_code   [0-9]{2}          2
-        ~         waver_code       [0-9]{2}          2
-        ~         id_ind           [A-Z\s]{1}        1
-        ~         dte_on           [0-9]{8}          8
-        ~         dte_payed_to     [0-9]{8}          8
-        ~         state            [A-Z\s]{1}        1
-        ~         card_no          [0-9]{2}          2
-        ~         card_date_issued [0-9]{8}          8
-        PRODS~~   p1               [0-9A-Z\s]{3}     3
-        ~         p2               [0-9A-Z\s]{3}     3
-        ~         p3               [0-9A-Z\s]{3}     3
-        ~         p4               [0-9A-Z\s]{3}     3
-        ~         p5               [0-9A-Z\s]{3}     3
-        ~         p6               [A-Z\s]{8}        8
-        ~~        group_dpt        [0-9]{8}          8
-        ~         group_no         [0-9]{5}          5
-        ~         sect_no          [0-9\s]{3}        3
-        ~         user_resp        [0-9]{3}          3
-    """,
+FIELDS: dict[str, list[tuple[str, str, str, int]]] = {
+    "dep": [
+        ("DEP~~", "policy_no", r"[0-9]{8}", 8),
+        ("~", "member_no", r"[0-9]{8}", 8),
+        ("~", "order", r"[A-Z]{1}", 1),
+        ("~", "first", r"[A-Z\s]{24}", 24),
+        ("~", "last", r"[A-Z\s]{20}", 20),
+        ("~", "gender", r"[A-Z]{1}", 1),
+        ("~", "dob", r"[0-9]{8}", 8),
+        ("~", "status", r"[1-9A-Z]{1}", 1),
+        ("~", "start_dt", r"[0-9]{8}", 8),
+        ("~", "term_dt", r"[0-9\s]{8}", 8),
+        ("~", "a_limit", r"[$\.0-9\s]{8}", 8),
+        ("~", "o_limit", r"[$\.0-9\s]{8}", 8),
+        ("~", "n_flag", r"[A-Z]{1}", 1),
+        ("~", "l_boost", r"[$\.0-9\s]{8}", 8),
+    ],
+    "gaps": [
+        ("GAPS~~", "member_no", r"[0-9]{8}", 8),
+        ("~", "unknown", r"[0-9]{8}", 8),
+        ("~", "space", r"[A-Z0-9\s]{1}", 1),
+        ("~", "type", r"[A-Z0-9]{1}", 1),
+        ("~", "date_fr", r"[0-9]{8}", 8),
+        ("~", "date_to", r"[0-9]{8}", 8),
+        ("~", "reason", r"[A-Z0-9]{13}", 13),
+    ],
+    "histc": [
+        ("HISTC~~", "policy_no", r"[0-9]{8}", 8),
+        ("~", "member_no", r"[0-9]{8}", 8),
+        ("~", "data", r"[A-D]DATA", 5),
+        ("~~", "line_no", r"[0-9]{5}", 5),
+        ("~", "claim_no", r"[0-9]{5}", 5),
+        ("~", "processed_dt", r"[0-9]{8}", 8),
+        ("~", "location", r"[A-Z][0-9]{5}", 6),
+        ("~", "provider", r"[A-Z0-9\s]{8}", 8),
+        ("~", "a", r"[A-Z\s]{5}", 5),
+        ("~", "item_code", r"[A-Z][0-9\s]{4}", 5),
+        ("~", "service_dt", r"[0-9]{8}", 8),
+        ("~", "cost", r"[\s$0-9\.]{8}", 8),
+        ("~", "benefit", r"[\s$0-9\.]{8}", 8),
+    ],
+    "details": [
+        ("DETAILS~~", "client", r"[0-9]{8}", 8),
+        ("~", "customer", r"[0-9]{8}", 8),
+        ("~", "suffix", r"[A-Z]{1}", 1),
+        ("NAME~~", "title_code", r"[\s0-9]{2}", 2),
+        ("~", "first", r"[A-Z\s]{24}", 24),
+        ("~", "last", r"[A-Z\s]{20}", 20),
+        ("~", "gender", r"[A-Z\s]{1}", 1),
+        ("~", "dob", r"[0-9]{8}", 8),
+        ("PHONE~~", "home_ph", r"[0-9\s]{15}", 15),
+        ("~", "work_ph", r"[0-9\s]{15}", 15),
+        ("HOME~~", "h_addr1", r"[0-9A-Z\s\-]{26}", 26),
+        ("~", "h_addr2", r"[0-9A-Z\s\-]{26}", 26),
+        ("~", "h_suburb", r"[0-9A-Z\s\-]{26}", 26),
+        ("~", "h_pcode", r"[0-9\s]{6}", 6),
+        ("~", "h_mail_ret_date", r"[0-9A-Z\s]{8}", 8),
+        ("POST~~", "p_addr1", r"[0-9A-Z\s\-]{26}", 26),
+        ("~", "p_addr2", r"[0-9A-Z\s\-]{26}", 26),
+        ("~", "p_suburb", r"[0-9A-Z\s\-]{26}", 26),
+        ("~", "p_pcode", r"[0-9\s]{6}", 6),
+        ("~", "p_mail_ret_date", r"[0-9A-Z\s]{8}", 8),
+        ("POLICY~~", "status", r"[A-Z\s]{1}", 1),
+        ("~", "status_date", r"[0-9]{8}", 8),
+        ("~", "eff_date", r"[0-9]{8}", 8),
+        ("~", "scale", r"[A-Z\s]{1}", 1),
+        ("~", "pay_method", r"[A-Z\s]{1}", 1),
+        ("~", "pay_freq", r"[A-Z\s]{1}", 1),
+        ("~", "enrolment_code", r"[0-9]{2}", 2),
+        ("~", "waver_code", r"[0-9]{2}", 2),
+        ("~", "id_ind", r"[A-Z\s]{1}", 1),
+        ("~", "dte_on", r"[0-9]{8}", 8),
+        ("~", "dte_payed_to", r"[0-9]{8}", 8),
+        ("~", "state", r"[A-Z\s]{1}", 1),
+        ("~", "card_no", r"[0-9]{2}", 2),
+        ("~", "card_date_issued", r"[0-9]{8}", 8),
+        ("PRODS~~", "p1", r"[0-9A-Z\s]{3}", 3),
+        ("~", "p2", r"[0-9A-Z\s]{3}", 3),
+        ("~", "p3", r"[0-9A-Z\s]{3}", 3),
+        ("~", "p4", r"[0-9A-Z\s]{3}", 3),
+        ("~", "p5", r"[0-9A-Z\s]{3}", 3),
+        ("~", "p6", r"[A-Z\s]{8}", 8),
+        ("~~", "group_dpt", r"[0-9]{8}", 8),
+        ("~", "group_no", r"[0-9]{5}", 5),
+        ("~", "sect_no", r"[0-9\s]{3}", 3),
+        ("~", "user_resp", r"[0-9]{3}", 3),
+    ],
 }
 
 
@@ -114,17 +114,17 @@ class Layout:
         return [F.substring(record, start, width).alias(name) for name, (start, width) in self.places.items()]
 
 
-def _layout(text: str) -> Layout:
+def _layout(fields: list[tuple[str, str, str, int]]) -> Layout:
     pattern, places, at = "", {}, 1
-    for before, name, field, width in (row.split() for row in text.strip().splitlines()):
+    for before, name, field, width in fields:
         pattern += before + field
         at += len(before)
-        places[name] = (at, int(width))
-        at += int(width)
+        places[name] = (at, width)
+        at += width
     return Layout(pattern, places)
 
 
-LAYOUTS = {kind: _layout(text) for kind, text in _TEXT.items()}
+LAYOUTS = {kind: _layout(fields) for kind, fields in FIELDS.items()}
 
 
 def records(responses: DataFrame, kind: str) -> DataFrame:

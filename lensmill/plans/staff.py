@@ -45,6 +45,7 @@ SALES = [
 ]
 # The report adds an invoice's open balance once per item; this counts it once.
 UNPAID_ONCE = Metric("unpaid_per_invoice", "sum_once", EITHER, "STOCK_CHARGED - STOCK_PAID", type=BALANCE)
+# The discount numbers and barcodes in these conditions are fixed values.
 NET_COUNTS = [
     Metric("cust", "distinct", f"{SPECTACLES} and {SALE} and DESPENSE_TOTAL > 0"),
     Metric("sale", "once", f"{SALE} and {SPECTACLES}", less=f"{RETURN} and {SPECTACLES}"),
@@ -59,6 +60,7 @@ def _given(name: str, condition: str) -> Metric:
     return Metric(name, "sum", f"{condition} and {SALE}", "DISCOUNT_AMOUNT", less, AMOUNT)
 
 
+# Discount numbers (fixed values).
 DISCOUNTS = [
     _given("mgmt_d", "DISCOUNTID = 71"),
     _given("match_d", "DISCOUNTID in (77, 89)"),
