@@ -14,7 +14,7 @@ looked for:
    beyond ``block_items`` nodes is divided, and every pair of its parts is a task of its own.
 
 Texts are read again where sets are needed, filtered by a bitmap of fixed size before they are parsed; what passes the
-bitmap by chance is removed by the join that follows. Sets travel as digests, for candidates alone.
+bitmap by chance is removed by the join that follows. For candidates alone, texts travel to where sets are compared.
 
 Edge cases: a null or empty text has no shingles and is a component of its own, with its own doc_id (or null); rows
 alike in everything are separate rows of one component; a component of null doc_ids alone has a null id; an empty table
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lensmill.llm import signature_tree
-from lensmill.llm.common import stored, whole_text
+from lensmill.llm.common import job, stored, whole_text
 from lensmill.llm.components import components
 from lensmill.llm.fingerprints import mix
 from lensmill.llm.shingles import linked, set_digest, shingle_sets
@@ -86,7 +86,8 @@ def _frequent(texts: DataFrame) -> np.ndarray:
 def _sets(documents: DataFrame, percent: int) -> DataFrame:
     """Per row: doc_id, text_key, digest, size, prefix, minima and bitmap. Without shingles the digest is null."""
     texts = documents.select(F.col("doc_id").cast("long"), whole_text(F.col("text")).alias("text"))
-    often = documents.sparkSession.sparkContext.broadcast(_frequent(texts))
+    with job(documents.sparkSession):
+        often = documents.sparkSession.sparkContext.broadcast(_frequent(texts))
     multipliers = mix(np.arange(1, N_MINIMA + 1).astype(_U)) | _U(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,8 +157,8 @@ def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
 
 
-def _values_of(documents: DataFrame, keys: DataFrame, seed: int) -> DataFrame:
-    """(node, shingles) of the texts whose key is in ``keys`` (text_key), and of a few others."""
+def _texts_of(documents: DataFrame, keys: DataFrame, seed: int) -> DataFrame:
+    """(node, text) of the texts whose key is in ``keys`` (text_key), and of a few others."""
     spark = documents.sparkSession
     bitmap = spark.sparkContext.broadcast(_bitmap(keys))
 
@@ -172,33 +173,37 @@ def _values_of(documents: DataFrame, keys: DataFrame, seed: int) -> DataFrame:
                 for i, key in enumerate(part.column("text_key").to_pylist()):
                     if key not in seen and len(sets.of(i)):
                         seen.add(key)
-                        rows.append((set_digest(sets.of(i)), sets.of(i).tobytes()))
-                columns = list(zip(*rows, strict=True)) or [(), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["digest", "shingles"])
+                        rows.append((set_digest(sets.of(i)), i))
+                digests, places = list(zip(*rows, strict=True)) or [(), ()]
+                columns = [pa.array(digests, pa.binary()), part.column("text").take(pa.array(places, pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["digest", "text"])
 
     texts = documents.select(whole_text(F.col("text")).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    found = texts.mapInArrow(run, "digest binary, shingles binary")
-    return found.select(_node(seed).alias("node"), "shingles").dropDuplicates(["node"])
+    found = texts.mapInArrow(run, "digest binary, text string")
+    return found.select(_node(seed).alias("node"), "text")
 
 
-def _shingles(documents: DataFrame, nodes: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """(node, shingles) for the nodes wanted. nodes: (node, text_key)."""
+def _texts(documents: DataFrame, nodes: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
+    """(node, text) for the nodes wanted. nodes: (node, text_key). Texts travel, not sets: they take less room."""
     keys = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
-    return stored(_values_of(documents, keys.select("text_key"), seed).join(wanted, "node", "left_semi"), "join-shingles")
+    found = _texts_of(documents, keys.select("text_key"), seed).join(wanted, "node", "left_semi")
+    return stored(found.dropDuplicates(["node"]), "join-texts")
 
 
-def _tested(pairs: DataFrame, values: DataFrame, percent: int) -> DataFrame:
+def _tested(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The rows of pairs (a, b, and what else) whose sets link, by an exact test."""
     names = pairs.columns
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = (batch.column("of_a"), batch.column("of_b"))
-            keep = [linked(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U), percent) for x, y in zip(*sides, strict=True)]
-            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
-
-    with_a = pairs.join(values.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
-    with_b = with_a.join(values.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
+        for whole in batches:
+            for at in range(0, len(whole), TEXTS_AT_ONCE):
+                batch = whole.slice(at, TEXTS_AT_ONCE)
+                sides = [shingle_sets(batch.column(c).to_pylist()) for c in ("of_a", "of_b")]
+                keep = [linked(sides[0].of(i), sides[1].of(i), percent) for i in range(len(batch))]
+                yield batch.select(names).filter(pa.array(keep, pa.bool_()))
+
+    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("of_a")), "a")
+    with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("of_b")), "b")
     return with_b.select(*names, "of_a", "of_b").mapInArrow(test, pairs.schema)
 
 
@@ -215,8 +220,8 @@ def _stars(documents: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int
     pairs = minima.join(lead, ["k", "value"]).where((F.col("node") != F.col("lead.node")) & near)
     pairs = stored(pairs.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct(), "join-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    values = _shingles(documents, nodes, wanted, seed)
-    return stored(_tested(pairs, values, percent), "join-stars")
+    texts = _texts(documents, nodes, wanted, seed)
+    return stored(_tested(pairs, texts, percent), "join-stars", result=True)
 
 
 def _blocks(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
@@ -258,7 +263,7 @@ def _blocks(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     )
     # Within one cluster there is nothing to find; of blocks with the same members one is enough.
     chosen = folded.where("low != high").groupBy("members", "digest").agg(F.min("block").alias("block"))
-    return stored(members.join(stored(chosen.drop("digest"), "join-chosen"), "block"), "join-blocks")
+    return stored(members.join(stored(chosen.drop("digest"), "join-chosen"), "block"), "join-blocks", result=True)
 
 
 def _per_task(rows: DataFrame, columns: list[str], schema: str, join: Callable[[pa.Table], list[tuple]]) -> DataFrame:
@@ -334,55 +339,66 @@ def _tree_links(
     chosen = stored(left.groupBy("n", "x", "y").agg(F.min("task").alias("task")).select("task.*"), "join-chosen")
     few = stored(few.join(chosen, ["block", "i", "j"]), "join-partners")
     wanted = few.select("node").unionAll(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
-    values = _shingles(documents, nodes, wanted, seed)
+    texts = _texts(documents, nodes, wanted, seed)
 
     def exact(group: pa.Table) -> list[tuple]:
-        own = [np.frombuffer(v.as_buffer(), _U) for chunk in group.column("shingles").chunks for v in chunk]
+        sets = shingle_sets(group.column("text").to_pylist())
+        own = [sets.of(k) for k in range(len(group))]
         return signature_tree.links(own, group.column("cluster").to_pylist(), group.column("part").to_pylist(), percent)
 
-    links = _per_task(few.join(values, "node"), ["cluster", "part", "shingles"], "a long, b long", exact)
-    single = _tested(pairs, values, percent).select(F.col("cluster_a").alias("a"), F.col("cluster_b").alias("b"))
-    return stored(links.unionAll(single), "join-links")
+    links = _per_task(few.join(texts, "node"), ["cluster", "part", "text"], "a long, b long", exact)
+    single = _tested(pairs, texts, percent).select(F.col("cluster_a").alias("a"), F.col("cluster_b").alias("b"))
+    return stored(links.unionAll(single), "join-links", result=True)
 
 
 def _joined(documents: DataFrame, percent: int, block_items: int) -> DataFrame:
-    """Per row: doc_id, text_key, size and cluster (null without shingles)."""
-    sets = _sets(documents, percent)
-    seed = _without_collisions(sets)
-    sets = sets.withColumn("node", _node(seed))
-    nodes = sets.where("size > 0").select("node", "text_key")
-    first = stored(components(_stars(documents, sets, nodes, percent, seed)), "join-clusters")
-    links = _tree_links(documents, sets, _blocks(sets, first, percent), nodes, percent, seed, block_items)
-    second = stored(components(links), "join-clusters").select(F.col("node").alias("cluster"), F.col("component").alias("top"))
-    rows = sets.select("doc_id", "text_key", "size", "node").join(first, "node", "left")
-    rows = rows.withColumn("cluster", F.coalesce("component", "node")).join(second, "cluster", "left")
-    return stored(rows.select("doc_id", "text_key", "size", F.coalesce("top", "cluster").alias("cluster")), "join-rows")
+    """Per row: doc_id, text_key, size and cluster (null without shingles). What a step stores goes when its result is there."""
+    spark = documents.sparkSession
+    with job(spark):
+        sets = _sets(documents, percent)
+        seed = _without_collisions(sets)
+        sets = sets.withColumn("node", _node(seed))
+        nodes = sets.where("size > 0").select("node", "text_key")
+        with job(spark):
+            stars = _stars(documents, sets, nodes, percent, seed)
+        with job(spark):
+            first = stored(components(stars), "join-clusters", result=True)
+        with job(spark):
+            blocks = _blocks(sets, first, percent)
+        with job(spark):
+            links = _tree_links(documents, sets, blocks, nodes, percent, seed, block_items)
+        second = stored(components(links), "join-clusters").select(F.col("node").alias("cluster"), F.col("component").alias("top"))
+        rows = sets.select("doc_id", "text_key", "size", "node").join(first, "node", "left")
+        rows = rows.withColumn("cluster", F.coalesce("component", "node")).join(second, "cluster", "left")
+        rows = rows.select("doc_id", "text_key", "size", F.coalesce("top", "cluster").alias("cluster"))
+        return stored(rows, "join-rows", result=True)
 
 
 def components_of(documents: DataFrame, percent: int = 80, block_items: int = 4096) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id it is connected with by links)."""
-    rows = _joined(documents, percent, block_items)
-    least = stored(
-        rows.where("cluster is not null").groupBy("cluster").agg(F.min("doc_id").alias("least")), "join-least"
-    )
-    return rows.join(least, "cluster", "left").select(
-        "doc_id",
-        F.col("size").alias("n_shingles"),
-        F.when(F.col("cluster").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
-    )
+    with job(documents.sparkSession):
+        rows = _joined(documents, percent, block_items)
+        least = rows.where("cluster is not null").groupBy("cluster").agg(F.min("doc_id").alias("least"))
+        found = rows.join(stored(least, "join-least"), "cluster", "left").select(
+            "doc_id",
+            F.col("size").alias("n_shingles"),
+            F.when(F.col("cluster").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        )
+        return stored(found, "join-components", result=True)
 
 
 def one_of_each(documents: DataFrame, percent: int = 80, block_items: int = 4096) -> DataFrame:
     """The documents, all columns as they are: of each component the one with the smallest doc_id, of several such rows
     the one with the smallest text digest, and of rows alike in both just one. Documents without shingles stay."""
-    rows = _joined(documents, percent, block_items).where("cluster is not null")
-    rows = rows.select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_key"), "cluster")
-    pairs = rows.groupBy("cluster", "its_id", "its_key").agg(F.count("*").alias("rows"))
-    first = stored(pairs.groupBy("cluster").agg(F.min(F.struct("its_id", "its_key")).alias("first")), "join-first")
-    kept = F.col("first").eqNullSafe(F.struct("its_id", "its_key"))
-    # Only what goes and what is there several times meets the documents.
-    special = pairs.join(first, "cluster").select("its_id", "its_key", "rows", kept.alias("kept")).where("rows > 1 or not kept")
-    special = stored(special.drop("rows"), "join-special")
+    with job(documents.sparkSession):
+        rows = _joined(documents, percent, block_items).where("cluster is not null")
+        rows = rows.select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_key"), "cluster")
+        pairs = rows.groupBy("cluster", "its_id", "its_key").agg(F.count("*").alias("rows"))
+        first = stored(pairs.groupBy("cluster").agg(F.min(F.struct("its_id", "its_key")).alias("first")), "join-first")
+        kept = F.col("first").eqNullSafe(F.struct("its_id", "its_key"))
+        # Only what goes and what is there several times meets the documents.
+        special = pairs.join(first, "cluster").select("its_id", "its_key", "rows", kept.alias("kept")).where("rows > 1 or not kept")
+        special = stored(special.drop("rows"), "join-special", result=True)
     whole = documents.select(
         F.struct("*").alias("row"),
         F.col("doc_id").cast("long").alias("row_id"),

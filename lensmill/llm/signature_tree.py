@@ -114,7 +114,7 @@ class Groups:
 
 
 #: Bits of a set's bitmap per shingle, at least.
-BITS_PER_SHINGLE = 4
+BITS_PER_SHINGLE = 2
 #: Sets up to which a block is joined pair by pair, without trees.
 TINY = 12
 
