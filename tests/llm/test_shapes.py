@@ -5,7 +5,7 @@ import math
 import tracemalloc
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,3 +205,93 @@ def test_copies_of_pages_count_once(spark):
 )
 def test_class_words_spare_articles(html, want):
     assert html_text.main_text(html_text.blocks(html), set()) == want
+
+
+def brute_importance(pages, min_pages=8, decay=0.9):
+    """(host, path) -> (content, presentation, composite, heaviest) by recursion over each host's merged tree."""
+    site = defaultdict(lambda: {"styles": [], "texts": defaultdict(int), "below": set(), "n": 0})
+    for host, html in {(url and url.split("/")[2], html) for _, url, html in pages}:
+        found, holders = html_text._parsed(html)
+        for path, text in {(path, text) for path, text, *_ in found}:
+            site[host, path]["texts"][text] += 1
+        for path in {path for path, *_ in found}:
+            site[host, path]["n"] += 1
+        sequences = defaultdict(list)
+        for element in holders:
+            sequences[host, element.path].append(tuple(element.children))
+        for key, lists in sequences.items():
+            site[key]["styles"].append(tuple(lists))
+            site[key]["below"] |= {c for children in lists for c in children if c is not None}
+
+    def entropy(counts, m):
+        return -sum(n / m * math.log(n / m, m) for n in counts)
+
+    done = {}
+
+    def judge(host, path):
+        node = site[host, path]
+        m = len(node["styles"])
+        if m < min_pages:
+            return 1.0, 1.0
+        content = None
+        if node["texts"]:
+            logs = [math.log(n, node["n"]) for n in node["texts"].values()] if node["n"] >= min_pages else [0]
+            content = 1 - sum(logs) / len(logs)
+        under = {c: judge(host, c) for c in node["below"]}
+        of = {c: composite for c, (composite, _) in under.items()} | {None: content}
+        styles = Counter(node["styles"])
+        presentation = entropy(styles.values(), m)
+        means = [(n / m, [of[c] for children in style for c in children]) for style, n in styles.items()]
+        kept = decay ** len(styles)
+        composite = (1 - kept) * presentation + kept * sum(p * sum(v) / len(v) for p, v in means) if under else content
+        heaviest = max([composite, content or 0, *(h for _, h in under.values())])
+        done[host, path] = content, presentation, composite, heaviest
+        return composite, heaviest
+
+    for host, path in list(site):
+        judge(host, path)
+    return done
+
+
+def site_pages():
+    """Pages without any telling names: frames that are built alike, a list whose length varies, rotating offers, rare parts."""
+    rows = []
+    for i in range(60):
+        items = "".join(f"<li>Item {k}</li>" for k in range(1 + i % 5))
+        rare = "<div class=r>Rare words</div>" if i < 3 else ""
+        frame = f"<div class=a><div class=b><p>Home</p><p>News</p></div><p>Top</p></div><div class=c>Own {i % 50}<ul>{items}</ul></div>{rare}"
+        offer = f"<div class=o><div><p>Offer {i % 3}</p></div></div>"
+        rows.append((i, "http://h.example/", f"<body>{frame}{offer}<section><p>Text {i}</p><p>More {i}</p></section></body>"))
+    deep = "".join(f"<div class=d{k}>" for k in range(20))
+    rows += [(100 + i, None, f"{deep}<p>Same</p><p class=x>Text {i}</p>") for i in range(12)]
+    return rows + [(200, "http://few.example/", "<p>a<div>b"), (201, "http://few.example/", "")]
+
+
+def test_importance_rises_through_the_merged_tree(spark):
+    """Entropy of presentation of inner nodes and composite importance, against a recursion."""
+    rows = site_pages()
+    pages = spark.createDataFrame(rows + rows[:7], "page_id long, url string, html string")
+    found = {(r.host, r.path): (r.content, r.presentation, r.composite, r.heaviest) for r in html_text.importance(pages).collect()}
+    want = brute_importance(rows)
+    assert set(found) == set(want)
+    for key, values in want.items():
+        assert found[key] == pytest.approx(values, abs=1e-6), key
+    # A frame alike on all pages has no presentation, a list whose length varies has some.
+    inner = {p for _, p, composite, _ in want.values() if composite is not None}
+    assert 0 in inner and any(0.1 < p < 1 for p in inner)
+
+
+def test_noisy_branches_go_as_a_whole(spark):
+    """Also offers that take turns, of which none is on half of the pages."""
+    pages = spark.createDataFrame(site_pages(), "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    for i in range(60):
+        own = [f"Own {i % 50}", *(["Rare words"] if i < 3 else []), f"Text {i}", f"More {i}"]
+        left = [t for t in found[i].split("\n\n") if not t.startswith("Item")]
+        assert left == own
+    assert all(found[100 + i] == f"Text {i}" for i in range(12))
+    assert found[200] == "a\n\nb" and found[201] == ""
+    tree = {r.its_host: r for r in html_text.style_tree(pages).collect()}
+    top = html_text._Element("div", "class=a", html_text._Element("body", "", html_text._Element("", "", None)))
+    # The frame's levels are one entry, and so are the offers and the list.
+    assert top.path in tree["h.example"].branches and len(tree["h.example"].branches) == 3 and not tree["h.example"].paths
