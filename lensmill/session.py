@@ -8,6 +8,10 @@ from pyspark.sql import SparkSession
 RUNTIME = {
     # Split a hot invoice or patient even where the split costs one more exchange after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A scorecard's task sorts, joins and folds wide rows: in memory they take some 25 times what they take in a shuffle. Many
+    # shuffle partitions, joined up to this size, keep a task's memory the same however large the tables are.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 

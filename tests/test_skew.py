@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lensmill.functions.windows import DateRange
 from lensmill.plans import staff
+from lensmill.session import RUNTIME, tune
 from lensmill.sources.catalog import Clinic
 from tests.conftest import day
 
@@ -65,3 +66,24 @@ def test_invoice_fold_reuses_the_join_partitioning(spark):
     finally:
         for key in [*list(SMALL)[:2], "spark.sql.adaptive.enabled"]:
             spark.conf.unset(key)
+
+
+def test_tasks_stay_small_with_few_shuffle_partitions(spark):
+    """The lines' join and fold run in as many tasks as their size asks for, whatever the session's number of partitions."""
+    own = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false"}
+    own["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "1k"
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for name in [key, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]:
+        spark.conf.unset(name)
+    try:
+        tune(spark)
+        assert all(spark.conf.get(k) == v for k, v in RUNTIME.items())
+        for name, value in (own | {key: "16k"}).items():
+            spark.conf.set(name, value)
+        assert tune(spark).conf.get(key) == "16k"
+        lines = hot_clinic(spark).sale_lines(MAY).groupBy("ID").count()
+        assert lines.rdd.getNumPartitions() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        for name in own:
+            spark.conf.unset(name)
+        spark.conf.set(key, RUNTIME[key])
