@@ -405,9 +405,18 @@ def one_of_each(documents: DataFrame, percent: int = 80, block_items: int = 4096
         F.xxhash64(whole_text(F.col("text"))).alias("row_key"),
     )
     same = F.col("row_id").eqNullSafe(F.col("its_id")) & (F.col("row_key") == F.col("its_key"))
-    out = whole.join(special, same, "left").where("kept is null").select("row.*")
+    # Documents that a bitmap of these keys rules out stay as they are and do not travel; what passes it by chance is told by the join.
+    bitmap = documents.sparkSession.sparkContext.broadcast(_bitmap(special.select(F.xxhash64("its_id", "its_key").alias("key"))))
+
+    @F.arrow_udf("boolean")
+    def passes(keys: pa.Array) -> pa.Array:
+        return pa.array(_has(bitmap.value, keys.to_numpy(zero_copy_only=False)))
+
+    whole = whole.withColumn("passes", passes(F.xxhash64("row_id", "row_key")))
+    asked = whole.where("passes")
+    out = whole.where("not passes").select("row.*").unionAll(asked.join(special, same, "left").where("kept is null").select("row.*"))
     repeated = special.where("kept")
     if repeated.limit(1).count():
-        once = whole.join(repeated, same).dropDuplicates(["row_id", "row_key"]).select("row.*")
+        once = asked.join(repeated, same).dropDuplicates(["row_id", "row_key"]).select("row.*")
         out = out.unionAll(once)
     return out

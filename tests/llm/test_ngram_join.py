@@ -111,3 +111,22 @@ def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(100, 140)] + [(1000 + 7 * k, 1000) for k in range(1, 30)] + [(5, 5)]
     found = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {k: 100 for k in range(100, 141)} | {1000 + 7 * k: 1000 for k in range(30)}
+
+
+def test_documents_that_stay_do_not_travel(spark):
+    """Without broadcasts, only the documents a bitmap can't rule out meet the list of those that go."""
+    rows = [(i, f"some words of text number {i % 900} and more of {i % 900} here") for i in range(1000)] + [(5000, None), (5000, None)]
+    rows += [(6000, "twice the very same row of this table")] * 2
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = ngram_join.one_of_each(documents)
+        got = sorted(r.doc_id for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert got == [*range(900), 5000, 5000, 6000]
+    # One branch of the result holds no exchange: the documents that stay.
+    assert any("Exchange" not in part and "NOT pythonUDF" in part for part in plan.split(":- ")), plan
