@@ -57,16 +57,23 @@ def _splits_as_assumed(stated: dict | None) -> bool:
 def encoder(path: str, ranks_path: str | None = None) -> Callable[[str], list[int]]:
     """Text -> ids, without begin or end tokens; special strings in a text count as the special token.
 
-    One instance per Python worker. ``ranks_path``: the same vocabulary as ranks.
+    One instance per Python worker. ``ranks_path``: the same vocabulary as ranks; beside it ``tokenizers`` is loaded only for a
+    text that needs it.
     """
-    from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(path)
-    plain.no_truncation()
-    plain.no_padding()
-    slow = lambda text: plain.encode(text, add_special_tokens=False).ids
+    @lru_cache(maxsize=1)
+    def plain():
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
+    slow = lambda text: plain().encode(text, add_special_tokens=False).ids
     fast = ranked(path, ranks_path) if ranks_path else None
     if fast is None:
+        plain()
         return slow
 
     def encode(text: str) -> list[int]:

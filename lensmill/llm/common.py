@@ -62,6 +62,30 @@ def stored(frame: DataFrame, label: str, result: bool = False) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Rows of a batch that goes to Python: Spark's 10,000 texts are held several times over by each task, here and in the JVM.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of few texts, unless the session has a size of its own."""
+    key, rows = BATCH_ROWS
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, rows)
+
+
+#: Rows of a few numbers that one file takes.
+NARROW_ROWS = 50_000
+
+
+def narrow(frame: DataFrame, rows: int) -> DataFrame:
+    """A frame of about so many rows of a few numbers in as few parts as it needs, but one per core.
+
+    A part is a file where the frame is stored. On a local file system a task starts processes for each file it
+    writes, to set its mode.
+    """
+    return frame.coalesce(max(frame.sparkSession.sparkContext.defaultParallelism, -(-rows // NARROW_ROWS)))
+
+
 def n_words(text: Column) -> Column:
     """Number of words as long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lensmill.llm.common import job, stored
+from lensmill.llm.common import job, narrow, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,13 +23,14 @@ def components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
         before = state
+        few = lambda frame, n=state[0]: narrow(frame, n)
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         with job(edges.sparkSession):
             # Large star: neighbours above a node go to the smallest one around it.
-            least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "edges-least")
+            least = stored(few(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))), "edges-least")
             large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-            large = stored(large, "edges")
+            large = stored(few(large), "edges")
             # Small star: a node and its neighbours below go to the smallest of them.
-            least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "edges-least")
+            least = stored(few(large.groupBy("a").agg(F.min("b").alias("m"))), "edges-least")
             small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-            now = stored(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "edges", result=True)
+            now = stored(few(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct()), "edges", result=True)

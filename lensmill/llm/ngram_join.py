@@ -27,10 +27,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lensmill.llm import signature_tree
-from lensmill.llm.common import job, stored, whole_text
+from lensmill.llm.common import job, narrow, small_batches, stored, whole_text
 from lensmill.llm.components import components
 from lensmill.llm.fingerprints import mix
 from lensmill.llm.shingles import linked, set_digest, shingle_sets
@@ -41,15 +42,36 @@ BITMAP_BITS = 25
 #: A shingle is frequent from this share of documents on; so there are fewer than its inverse times the mean set size.
 FREQUENT = 0.0002
 N_MINIMA = 4
+#: Texts and their bytes that are made into sets at once, which takes some 40 times these bytes; a longer text goes alone.
 TEXTS_AT_ONCE = 512
+BYTES_AT_ONCE = 1 << 18
+#: Shingles that a task counts at once.
+COUNTED_AT_ONCE = 4_000_000
+
+
+def _parts(batch: pa.RecordBatch, *texts: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices that hold few texts and few bytes in each column named."""
+    ends = [np.cumsum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False)) for c in texts]
+    at = 0
+    while at < len(batch):
+        fit = [int(np.searchsorted(e, (e[at - 1] if at else 0) + BYTES_AT_ONCE, "right")) for e in ends]
+        to = max(at + 1, min(*fit, at + TEXTS_AT_ONCE))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def _batched(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    for at in range(0, len(batch), TEXTS_AT_ONCE):
-        part = batch.slice(at, TEXTS_AT_ONCE)
+    for part in _parts(batch, "text"):
         yield part, part.column("text").to_pylist()
 
 
+def _repeated(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values that are there twice or more, and how often; sorts in place, since tasks have little room."""
+    values.sort()
+    found, counts = np.unique(values[1:][values[1:] == values[:-1]], return_counts=True)
+    return found, counts + 1
+
+
 def _longs(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
@@ -61,7 +83,9 @@ def _frequent(texts: DataFrame) -> np.ndarray:
         waiting, n = [], 0
 
         def common() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(waiting or [np.zeros(0, _U)]), return_counts=True)
+            together = np.concatenate(waiting or [np.zeros(0, _U)])
+            waiting.clear()
+            values, counts = _repeated(together)
             often = counts >= max(2, FREQUENT * n)
             rows = [_longs(np.concatenate((values[often], [_U(0)]))), pa.array(np.concatenate((counts[often], [n])), pa.int64())]
             # The last row counts documents.
@@ -71,9 +95,9 @@ def _frequent(texts: DataFrame) -> np.ndarray:
             for _, part in _batched(batch):
                 waiting.append(shingle_sets(part).values)
                 n += len(part)
-                if sum(map(len, waiting)) > 4_000_000:
+                if sum(map(len, waiting)) > COUNTED_AT_ONCE:
                     yield common()
-                    waiting, n = [], 0
+                    n = 0
         yield common()
 
     counted = texts.select("text").mapInArrow(run, "shingle long, n long, total boolean")
@@ -196,8 +220,7 @@ def _tested(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), TEXTS_AT_ONCE):
-                batch = whole.slice(at, TEXTS_AT_ONCE)
+            for batch in _parts(whole, "of_a", "of_b"):
                 sides = [shingle_sets(batch.column(c).to_pylist()) for c in ("of_a", "of_b")]
                 keep = [linked(sides[0].of(i), sides[1].of(i), percent) for i in range(len(batch))]
                 yield batch.select(names).filter(pa.array(keep, pa.bool_()))
@@ -209,16 +232,17 @@ def _tested(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def _stars(documents: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int, seed: int) -> DataFrame:
     """Verified links (a, b) of nodes with one node of those that share one of their minima, another one per minimum."""
+    n = N_MINIMA * sets.count()
     minima = sets.where("size > 0").select("node", "size", F.posexplode("minima").alias("k", "value"))
     lead = minima.groupBy("k", "value").agg(
         F.min_by(F.struct("node", "size"), F.xxhash64("node", "k")).alias("lead"),
         F.min("node").alias("low"),
         F.max("node").alias("high"),
     )
-    lead = stored(lead.where("low != high").select("k", "value", "lead"), "join-leads")
+    lead = stored(narrow(lead.where("low != high").select("k", "value", "lead"), n), "join-leads")
     near = (100 * F.col("size") >= percent * F.col("lead.size")) & (100 * F.col("lead.size") >= percent * F.col("size"))
     pairs = minima.join(lead, ["k", "value"]).where((F.col("node") != F.col("lead.node")) & near)
-    pairs = stored(pairs.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct(), "join-pairs")
+    pairs = stored(narrow(pairs.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct(), n), "join-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = _texts(documents, nodes, wanted, seed)
     return stored(_tested(pairs, texts, percent), "join-stars", result=True)
@@ -354,6 +378,7 @@ def _tree_links(
 def _joined(documents: DataFrame, percent: int, block_items: int) -> DataFrame:
     """Per row: doc_id, text_key, size and cluster (null without shingles). What a step stores goes when its result is there."""
     spark = documents.sparkSession
+    small_batches(spark)
     with job(spark):
         sets = _sets(documents, percent)
         seed = _without_collisions(sets)
@@ -371,7 +396,7 @@ def _joined(documents: DataFrame, percent: int, block_items: int) -> DataFrame:
         rows = sets.select("doc_id", "text_key", "size", "node").join(first, "node", "left")
         rows = rows.withColumn("cluster", F.coalesce("component", "node")).join(second, "cluster", "left")
         rows = rows.select("doc_id", "text_key", "size", F.coalesce("top", "cluster").alias("cluster"))
-        return stored(rows, "join-rows", result=True)
+        return stored(narrow(rows, sets.count()), "join-rows", result=True)
 
 
 def components_of(documents: DataFrame, percent: int = 80, block_items: int = 4096) -> DataFrame:
@@ -391,14 +416,17 @@ def one_of_each(documents: DataFrame, percent: int = 80, block_items: int = 4096
     """The documents, all columns as they are: of each component the one with the smallest doc_id, of several such rows
     the one with the smallest text digest, and of rows alike in both just one. Documents without shingles stay."""
     with job(documents.sparkSession):
-        rows = _joined(documents, percent, block_items).where("cluster is not null")
+        rows = _joined(documents, percent, block_items)
+        n = rows.count()
+        rows = rows.where("cluster is not null")
         rows = rows.select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_key"), "cluster")
         pairs = rows.groupBy("cluster", "its_id", "its_key").agg(F.count("*").alias("rows"))
-        first = stored(pairs.groupBy("cluster").agg(F.min(F.struct("its_id", "its_key")).alias("first")), "join-first")
+        first = pairs.groupBy("cluster").agg(F.min(F.struct("its_id", "its_key")).alias("first"))
+        first = stored(narrow(first, n), "join-first")
         kept = F.col("first").eqNullSafe(F.struct("its_id", "its_key"))
         # Only what goes and what is there several times meets the documents.
         special = pairs.join(first, "cluster").select("its_id", "its_key", "rows", kept.alias("kept")).where("rows > 1 or not kept")
-        special = stored(special.drop("rows"), "join-special", result=True)
+        special = stored(narrow(special.drop("rows"), n), "join-special", result=True)
     whole = documents.select(
         F.struct("*").alias("row"),
         F.col("doc_id").cast("long").alias("row_id"),

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from lensmill.llm import bpe
-from lensmill.llm.common import stored, whole_text
+from lensmill.llm.common import small_batches, stored, whole_text
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Of an island's state between epochs: per bin its pieces, as one array with bin numbers in piece order.
@@ -46,6 +46,7 @@ def cut(
     documents: DataFrame, path: str, ranks_path: str | None, end_id: int, capacity: int, keep_ids: bool = False
 ) -> DataFrame:
     """Pieces of all documents: doc_id, piece, start, length, ids_crc32 and, if wanted, the ids themselves."""
+    small_batches(documents.sparkSession)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = bpe.encoder(path, ranks_path)

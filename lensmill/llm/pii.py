@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lensmill.llm.common import whole_text
+from lensmill.llm.common import small_batches, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, number of the kind, end
@@ -286,6 +286,7 @@ def find(documents: DataFrame) -> DataFrame:
 def redact(documents: DataFrame) -> DataFrame:
     """The documents with personal data replaced in ``text``; ``n_chars``, where there is one, follows."""
     at = documents.columns.index("text")
+    small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

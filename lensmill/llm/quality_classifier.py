@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lensmill.llm.common import stored, whole_text
+from lensmill.llm.common import small_batches, stored, whole_text
 from lensmill.llm.fingerprints import mix
 
 PUNCTUATION = b".,!#*$%&|"
@@ -169,6 +169,7 @@ def score(
     **fitting,
 ) -> DataFrame:
     """Per document: doc_id, score, predicted."""
+    small_batches(documents.sparkSession)
     space = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, learn, **fitting))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,6 +192,7 @@ def keep_good(
     **fitting,
 ) -> DataFrame:
     """The documents, all columns as they are, that score at least the threshold."""
+    small_batches(documents.sparkSession)
     space = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, learn, **fitting))
     at = documents.columns.index("text")
 
